@@ -52,5 +52,5 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_root(spark)}/arborflow/{uuid.uuid4().hex}/{name}"
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
