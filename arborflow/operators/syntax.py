@@ -13,6 +13,7 @@ import warnings
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,13 +26,14 @@ LOOPS = ["For", "AsyncFor", "While"]
 BRANCHES = ["If", "Match"]
 BLOCK_FIELDS = ("body", "orelse", "finalbody")
 
+# file: number of the file in this parse, a short join key for tables derived from it.
 # pos/end_pos: pre-order position of the node and of the last node below it.
 # parent_len, owner_len, scope_len: lengths of the prefixes of `path` that are those nodes' paths.
 # owner/region/idx: for a statement, whose block it stands in, which block, and where.
 # owners: enclosing statements of the same scope, outermost first, a statement itself last.
 # role/symbol: def, use, param or call, and the name concerned.
 SYNTAX = (
-    "file_id string, pos int, end_pos int, depth int, ast_type string, path string, field string, "
+    "file_id string, file bigint, pos int, end_pos int, depth int, ast_type string, path string, field string, "
     "parent_type string, parent_len int, line int, column int, end_line int, end_column int, name string, value string, "
     "scope_pos int, scope_len int, is_stmt boolean, owner_pos int, owner_type string, owner_len int, region string, "
     "idx int, block_len int, blocks array<string>, loop int, starred boolean, owners array<int>, role string, symbol string, "
@@ -39,7 +41,7 @@ SYNTAX = (
 )
 _NAMES = [part.split(" ")[0] for part in SYNTAX.split(", error ")[0].split(", ")] + ["error"]
 _TYPES = {
-    "string": pa.string(), "int": pa.int32(), "boolean": pa.bool_(),
+    "string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(),
     "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32()),
 }
 _ARROW = pa.schema(
@@ -92,7 +94,7 @@ def _symbol(node: ast.AST, parent: ast.AST | None, grandparent_type: str) -> tup
     return None, None
 
 
-def _walk(file: str, tree: ast.AST, types: frozenset[str] | None) -> list[tuple]:
+def _walk(file: str, number: int, tree: ast.AST, types: frozenset[str] | None) -> list[tuple]:
     """Rows of one tree in pre-order, with an explicit stack so that depth is not limited."""
     rows: list[list] = []
     above: list[int] = []
@@ -109,7 +111,7 @@ def _walk(file: str, tree: ast.AST, types: frozenset[str] | None) -> list[tuple]
         blocks = [f for f in BLOCK_FIELDS if isinstance(getattr(node, f, None), list) and getattr(node, f)]
         owner = block or (None, None, None, None, None, None)
         rows.append([
-            file, pos, pos, depth, kind, path, field, type(parent).__name__ if parent else None, parent_len,
+            file, number, pos, pos, depth, kind, path, field, type(parent).__name__ if parent else None, parent_len,
             getattr(node, "lineno", 0), getattr(node, "col_offset", 0),
             getattr(node, "end_lineno", 0) or 0, getattr(node, "end_col_offset", 0) or 0,
             _label(node), _literal(node), scope[0], scope[1], is_stmt, *owner, blocks if is_stmt or is_scope else None,
@@ -144,10 +146,10 @@ def _walk(file: str, tree: ast.AST, types: frozenset[str] | None) -> list[tuple]
                 ))
         stack.extend(reversed(children))
     for pos in range(len(rows) - 1, 0, -1):
-        end, up = rows[pos][2], above[pos]
-        if end > rows[up][2]:
-            rows[up][2] = end
-    return [r for r in rows if types is None or r[4] in types]
+        end, up = rows[pos][3], above[pos]
+        if end > rows[up][3]:
+            rows[up][3] = end
+    return [r for r in rows if types is None or r[5] in types]
 
 
 def _failure(file: str, exc: Exception) -> tuple:
@@ -171,6 +173,7 @@ def _parser(lenient: bool, types: frozenset[str] | None):
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         warnings.simplefilter("ignore")
         pending: list[tuple] = []
+        number = TaskContext.get().partitionId() << 40
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*pending))
@@ -181,10 +184,11 @@ def _parser(lenient: bool, types: frozenset[str] | None):
         for batch in batches:
             for file, path, content in zip(*(batch.column(i) for i in range(3))):
                 file = file.as_py()
+                number += 1
                 try:
                     source = content.as_py().decode("utf-8", errors="replace" if lenient else "strict")
                     tree = ast.parse(source, filename=path.as_py(), type_comments=True)
-                    pending.extend(_walk(file, tree, types))
+                    pending.extend(_walk(file, number, tree, types))
                 except Exception as exc:  # any failure of one file is that file's error row
                     detail = _failure(file, exc)
                     pending.append((*detail[:-1], {k: _clean(v) for k, v in detail[-1].items()}))
@@ -209,14 +213,24 @@ def parse_files(files: DataFrame, lenient: bool = False, types: list[str] | None
 class Syntax:
     """Parsed corpus: `rows` are the syntax nodes, `errors` the files that failed."""
 
-    def __init__(self, parsed: DataFrame):
-        self.parsed = parsed
+    def __init__(self, parsed: DataFrame, stored: bool):
+        self.parsed, self.stored = parsed, stored
         self.rows = parsed.where("error IS NULL").drop("error")
         self.errors = parsed.where("error IS NOT NULL").select("file_id", "error.*")
 
+    @property
+    def joinable(self) -> DataFrame:
+        """Rows whose `file` numbers may be joined on: they were written once.
+
+        A second parse may meet the files in another order and number them otherwise.
+        """
+        if not self.stored:
+            raise ValueError("joins need stored rows: extract(files)")
+        return self.rows
+
     @property
     def statements(self) -> DataFrame:
-        return self.rows.where("is_stmt")
+        return self.joinable.where("is_stmt")
 
     @property
     def scopes(self) -> DataFrame:
@@ -234,4 +248,4 @@ def extract(files: DataFrame, stored: bool = True) -> Syntax:
         ),
     }
     parsed = parsed.withColumns(ids)
-    return Syntax(keep(parsed, "syntax") if stored else parsed)
+    return Syntax(keep(parsed, "syntax") if stored else parsed, stored)

@@ -15,6 +15,8 @@ SETTINGS = {
     # one source file fans out to many rows, so a parse task should start from little input
     "spark.sql.files.maxPartitionBytes": "32m",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    # a graph build compiles more stages than the default cache of 100 holds
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 _local_root: dict[str, str] = {}
