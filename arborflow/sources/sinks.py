@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from arborflow.operators.contracts import REPORT, violations
+from arborflow.operators.contracts import REPORT, validate_contract
 from arborflow.sources.storage import write_text_once
 
 
@@ -57,7 +57,7 @@ def write_checks(checks: DataFrame, stages: DataFrame, folder: str, captured_at:
     }
     text = json.dumps(report, indent=2, sort_keys=True, ensure_ascii=False)
     spark = checks.sparkSession
-    problems = spark.range(1).select(violations(F.lit(text), REPORT, closed=False).alias("v")).first().v
+    problems = validate_contract(spark.range(1).select(F.lit(text).alias("value")), REPORT, closed=False).first().violations
     if problems:
         raise AssertionError("replay report breaks its contract: " + ", ".join(problems))
     path = f"{folder}/replay-report.json"
