@@ -16,6 +16,9 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        # fixtures are tiny: compiling every stage would take most of the time
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
