@@ -153,13 +153,14 @@ def _walk(file: str, number: int, tree: ast.AST, types: frozenset[str] | None) -
 
 
 def _failure(file: str, exc: Exception) -> tuple:
-    line, column = getattr(exc, "lineno", 0) or 0, getattr(exc, "offset", 0) or 0
+    """Error row of a file; only syntax errors have a place, the others stand at 0, 0."""
+    placed = isinstance(exc, SyntaxError)
     detail = {
         "exception_type": type(exc).__name__,
         "message": str(exc),
-        "line": line,
-        "column": column,
-        "traceback": "".join(traceback.format_exception_only(type(exc), exc)).strip()[:2000],
+        "line": placed and exc.lineno or 0,
+        "column": placed and exc.offset or 0,
+        "traceback": "".join(traceback.format_exception_only(exc)).strip(),
     }
     return (file, *[None] * (len(_NAMES) - 2), detail)
 
