@@ -1,4 +1,4 @@
-"""Expected graphs of the template sources, written down once and checked by hand for the small ones.
+"""Expected graphs of the template sources, written out once by the brute-force reading in tests/bruteforce.py.
 
 Node lines: path|type|line|column|end line|end column|name|value, `+k` adding the number of digits of
 the row key and `{K}` standing for the key. Edge lines: kind|source|target|discriminator|resolved.

@@ -1,10 +1,14 @@
 import ast
 
+import pytest
+
 from bruteforce import analyze
 from programs import program
 from pyspark.sql import functions as F
 
 from arborflow.functions.ids import file_id
+from arborflow.operators import control
+from arborflow.operators.syntax import extract
 from arborflow.plans.graph import build_graph
 
 
@@ -64,3 +68,16 @@ def test_empty_and_tiny(spark):
         "star.py": "try:\n    break\nexcept* E:\n    for a in b:\n        a = a\n    match a:\n        case 1:\n            pass\n",
         "dead.py": "def f(a):\n    return a\n    while a:\n        a = b\n    if a:\n        return 1\n        b = a\n    print(b)\n",
     })
+
+
+def test_joins_refuse_rows_that_are_parsed_again(spark):
+    syntax = extract(as_files(spark, {"a.py": "x = 1\n"}), stored=False)
+    with pytest.raises(ValueError, match="stored"):
+        control.flow_edges(syntax)
+
+
+def test_deep_source_is_processed(spark):
+    text = "x = " + "+".join(["a"] * 1500) + "\n"
+    graph = build_graph(as_files(spark, {"deep.py": text, "deeper.py": "x = " + "(" * 300 + "a" + ")" * 300 + "\n"}))
+    assert graph.nodes.where("ast_type = 'BinOp'").count() == 1499
+    assert [r.exception_type for r in graph.errors.collect()] == ["SyntaxError"]
