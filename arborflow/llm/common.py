@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arborflow.session import keep
 
-__all__ = ["components", "keep", "mixed", "table", "text_blocks"]
+__all__ = ["components", "keep", "mixed", "numbered", "table", "text_blocks"]
 
 #: Characters a numpy block holds about; a longer document is a block of its own.
 BLOCK_CHARS = 1 << 20
@@ -43,6 +43,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """`rows` with `place`, counted from 1 over the whole table in `order`; split by ranges, so no key is one task."""
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    held = keep(sorted_rows, name)
+    part = F.shiftright("at", 33)
+    sizes = held.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # one row per partition of the sort
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("start"))
+    return held.withColumn("part", part).join(starts, "part").withColumn("place", F.col("start") + F.col("at") - F.shiftleft(F.col("part"), 33) + 1).drop("part", "start", "at")
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of edges (a long, b long): rows (id, component) for every id with an edge, component the smallest id.
 

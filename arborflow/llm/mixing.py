@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborflow.llm.common import keep
+from arborflow.llm.common import keep, numbered
 
 #: Random offsets tried for each source; the one whose mix is nearest the target is taken.
 OFFSETS = 32
@@ -16,17 +16,6 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"), F.lit(0).cast("long"))
 
 
-def _numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """`rows` with `place`, counted from 1 over the whole table in `order`; split by ranges, so no key is one task."""
-    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
-    held = keep(sorted_rows, name)
-    part = F.shiftright("at", 33)
-    sizes = held.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # one row per partition of the sort
-    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("start"))
-    return held.withColumn("part", part).join(starts, "part").withColumn("place", F.col("start") + F.col("at") - F.shiftleft(F.col("part"), 33) + 1).drop("part", "start", "at")
-
-
 def targets(sources: DataFrame, weights: tuple[float, ...], most: float) -> DataFrame:
     """`sources` (source, source_size, first) with `target` and `ratio` = target / source_size.
 
@@ -77,7 +66,7 @@ def mix(
         F.xxhash64(F.col(f"`{text}`")).alias("tie"), *(F.col(f"`{c}`").alias(f"carried_{c}") for c in carry),
     )
     order = [F.col("source").asc_nulls_last(), F.col("size").asc(), F.col("doc_id").asc(), F.col("tie").asc()]
-    placed = _numbered(rows, order, "mix")
+    placed = numbered(rows, order, "mix")
     sources = placed.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("place").alias("first"))
     aims = targets(sources, weights, most)
     aims = keep(aims, "targets")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborflow.llm import language, mixing, neardup, packing, secrets
+from arborflow.llm import fingerprints, forest, language, mixing, neardup, packing, pages, secrets
 from arborflow.llm.common import table
 
 
@@ -28,6 +28,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(digest(plain), 256).alias("base_sha256"), digest(F.col("secret_spans")).alias("spans"), "cut_layers")
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return forest.nearest(vectors, vectors.where("vec_id % 50 = 0"), top=5)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 4096 tokens."""
     import public_tokenizers
@@ -76,6 +82,16 @@ def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-sensitive fingerprints of every text, of its edit, and how alike they are."""
+    return fingerprints.edits(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by models of the documents that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out(F.col("doc_id")))
@@ -86,9 +102,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_nearest": op2_nearest,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op7_neardup": op7_neardup,
+    "op8_pages": op8_pages,
+    "op9_fingerprints": op9_fingerprints,
     "op10_language": op10_language,
 }
 SQL: dict[str, str] = {"op5_mixing": OP5_SQL}
