@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborflow.llm import fingerprints, forest, language, mixing, neardup, packing, pages, secrets
+from arborflow.llm import fingerprints, forest, language, mixing, neardup, packing, pages, secrets, substrings
 from arborflow.llm.common import table
 
 
@@ -34,6 +34,11 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(vectors, vectors.where("vec_id % 50 = 0"), top=5)
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without strings of 50 bytes that a smaller document has."""
+    return substrings.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 4096 tokens."""
     import public_tokenizers
@@ -103,6 +108,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_nearest": op2_nearest,
+    "op3_substrings": op3_substrings,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op7_neardup": op7_neardup,
