@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborflow.llm import fingerprints, forest, language, mixing, neardup, packing, pages, secrets, substrings
+from arborflow.llm import fingerprints, forest, language, mixing, neardup, packing, pages, passages, secrets, substrings
 from arborflow.llm.common import table
 
 
@@ -82,6 +82,11 @@ FROM p JOIN b ON p.source IS NOT DISTINCT FROM b.source
 """
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate passages of 50 words and more over all documents."""
+    return passages.near_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of documents by shingles of four words."""
     return neardup.link(table(spark, sf_dir, "documents"), words=4, percent=80)
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substrings": op3_substrings,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
+    "op6_passages": op6_passages,
     "op7_neardup": op7_neardup,
     "op8_pages": op8_pages,
     "op9_fingerprints": op9_fingerprints,
