@@ -16,7 +16,9 @@ BANDS, ROWS = 28, 4
 #: Low bits kept of each minimum.
 BITS = 2
 #: Standard deviations of the estimate below the threshold at which a candidate is still confirmed exactly.
-SLACK = 5.0
+SLACK = 4.5
+#: Minima of the finer signature, one bit of each, that members of buckets get which one star could not settle.
+FINE = 2048
 #: A bucket of so many members is compared whole in one round; a larger one by stars around 1, 8, 64, ... centres a round.
 SMALL = 8
 _rng = np.random.default_rng(20250107)
@@ -24,6 +26,7 @@ _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 _FACTOR = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+_FINE_FACTOR = _rng.integers(1, 1 << 63, FINE, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -69,13 +72,13 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     return sets
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
+def minima(sets: list[np.ndarray], factors: np.ndarray) -> np.ndarray:
     """Row per set, column per hash function: the least 32-bit hash value (sets must not be empty)."""
-    out = np.empty((len(sets), len(_FACTOR)), np.uint32)
+    out = np.empty((len(sets), len(factors)), np.uint32)
     for first in range(0, len(sets), 64):
         some = sets[first : first + 64]
         flat, starts = np.concatenate(some), np.cumsum([0, *(len(s) for s in some[:-1])])
-        for k, factor in enumerate(_FACTOR):
+        for k, factor in enumerate(factors):
             value = flat * factor
             value >>= np.uint64(32)
             out[first : first + 64, k] = np.minimum.reduceat(value.astype(np.uint32), starts)
@@ -90,6 +93,19 @@ def identity(sets: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _fine(words: int):
+    """The finer signature of each text with words."""
+
+    def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in text_blocks(frames, "text"):
+            sets = [s for s in shingle_sets(_lower(frame.text), words) if len(s)]
+            same = identity(sets)
+            bits = np.packbits((minima(sets, _FINE_FACTOR) & 1).astype(np.uint8), axis=1).view(np.int64) if sets else []
+            yield pd.DataFrame({"n_shingles": [len(s) for s in sets], "same_a": same[:, 0], "same_b": same[:, 1], "fine": list(bits)})
+
+    return build
+
+
 def planes(least: np.ndarray) -> np.ndarray:
     """The lowest bits of each minimum, packed: two 64-bit words for the first bits of all minima, two for the second, ..."""
     out = np.zeros((len(least), 2 * BITS), np.uint64)
@@ -114,7 +130,7 @@ def _signatures(words: int):
             bits = np.zeros((len(sets), 2 * BITS), np.int64)
             same = identity(sets)
             if len(some):
-                least = minima([sets[k] for k in some])
+                least = minima([sets[k] for k in some], _FACTOR)
                 grouped = least.reshape(len(some), BANDS, ROWS).astype(np.uint64)
                 band[some] = mixed((grouped * _STEP[:ROWS]).sum(axis=2, dtype=np.uint64)).view(np.int64)
                 bits[some] = planes(least)
@@ -165,7 +181,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
     Equal sets collapse to one representative first, so groups of copies never meet as pairs. Bands of minima give
     buckets of representatives; b-bit estimates drop pairs far below the threshold, the rest is confirmed. Large buckets
     are compared in rounds by stars around their best-connected members, until all that is left of a bucket is in one
-    component or has been a centre: no pair of different components goes unchecked.
+    component or has been a centre: no pair of different components goes unchecked. From the second round on, a finer
+    signature of the few documents left in open buckets keeps pairs just below the threshold from being made.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -186,8 +203,12 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
     popular = members.groupBy("id").agg(F.sum(F.col("m") * F.col("times")).alias("popular"))
     active = members.select("bucket", "id").distinct().join(popular, "id").join(facts, "id").withColumn("component", F.col("id"))
     active = keep(active, "active")
-    sets = edges = links = None
-    slack = threshold_slack(percent)
+    sets = edges = links = fine = None
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """A text for each wanted set, and perhaps others of the same id."""
+        return rows.join(light.join(wanted, "id", "left_semi"), "doc_id", "left_semi")
+
     centres_now = 1
     while True:
         size = active.groupBy("bucket").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -195,12 +216,21 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
         open_rows = keep(active.join(size, "bucket"), "open")
         if open_rows.isEmpty():
             break
+        alike = likeness("c", "o") >= percent / 100 - threshold_slack(percent, BANDS * ROWS, BITS)
+        if centres_now > 1:
+            if fine is None:
+                wanted = open_rows.select("id").distinct()
+                fine = texts_of(wanted).mapInPandas(_fine(words), "n_shingles long, same_a long, same_b long, fine array<long>")
+                fine = keep(fine.select(F.xxhash64(*same).alias("id"), "fine").dropDuplicates(["id"]), "fine")
+            open_rows = open_rows.join(fine, "id")
+            differ = F.aggregate(F.zip_with("c.fine", "o.fine", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+            alike = alike & (1 - 2 * differ / F.lit(float(FINE)) >= percent / 100 - threshold_slack(percent, FINE, 1))
         order = Window.partitionBy("bucket").orderBy(F.desc("popular"), "id")
         ranked = open_rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(SMALL, centres_now))
         centres = keep(ranked.where((F.col("m") <= SMALL) | (F.col("place") <= centres_now)).drop("m"), "centres")
         pairs = centres.alias("c").join(open_rows.alias("o"), "bucket").where(
             "c.id <> o.id and c.component <> o.component and 100 * least(c.n, o.n) >= {0} * greatest(c.n, o.n)".format(percent)
-        ).where(likeness("c", "o") >= percent / 100 - slack)
+        ).where(alike)
         pairs = pairs.select(F.least("c.id", "o.id").alias("a"), F.greatest("c.id", "o.id").alias("b")).distinct()
         if edges is not None:
             pairs = pairs.join(edges.select("a", "b"), ["a", "b"], "left_anti")
@@ -210,8 +240,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
             wanted = wanted.join(sets.select("id"), "id", "left_anti")
         wanted = keep(wanted, "wanted")
         if not wanted.isEmpty():
-            of = rows.join(light.join(wanted, "id", "left_semi"), "doc_id", "left_semi")
-            built = of.mapInPandas(_sets(words), "n_shingles long, same_a long, same_b long, shingles array<long>")
+            built = texts_of(wanted).mapInPandas(_sets(words), "n_shingles long, same_a long, same_b long, shingles array<long>")
             built = built.select(F.xxhash64(*same).alias("id"), "shingles").join(wanted, "id", "left_semi")
             built = keep(built.dropDuplicates(["id"]), "sets")
             sets = built if sets is None else sets.union(built)
@@ -225,7 +254,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
             judged = keep(judged, "judged")
             edges = judged if edges is None else edges.union(judged)
             links = components(edges.where("linked").select("a", "b"))
-        rest = open_rows.drop("m").join(centres.select("bucket", "id"), ["bucket", "id"], "left_anti")
+        rest = open_rows.drop("m", "fine").join(centres.select("bucket", "id"), ["bucket", "id"], "left_anti")
         if links is not None:
             rest = rest.drop("component").join(links, "id", "left").withColumn("component", F.coalesce("component", "id"))
         active = keep(rest.select(*active.columns), "active")
@@ -241,8 +270,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
     )
 
 
-def threshold_slack(percent: int) -> float:
+def threshold_slack(percent: int, hashes: int, bits: int) -> float:
     """Distance below the threshold that an estimate of a linked pair stays within, by SLACK standard deviations."""
-    chance = 0.5**BITS
+    chance = 0.5**bits
     agree = chance + (1 - chance) * percent / 100
-    return SLACK * (agree * (1 - agree) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
+    return SLACK * (agree * (1 - agree) / hashes) ** 0.5 / (1 - chance)
