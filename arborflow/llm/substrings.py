@@ -17,7 +17,7 @@ from arborflow.llm.common import keep, mixed, text_blocks
 #: Length of the shortest match, and of the grams whose least hash anchors it, in bytes.
 LEAST, GRAM = 50, 16
 #: Bytes of text about that a chunk of documents holds, that anchors are gathered over, and that a bucket stands for.
-CHUNK_BYTES, FLUSH_BYTES, BUCKET_BYTES = 1 << 18, 1 << 24, 1 << 23
+CHUNK_BYTES, FLUSH_BYTES, BUCKET_BYTES = 1 << 18, 1 << 22, 1 << 22
 _rng = np.random.default_rng(20250211)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -121,7 +121,8 @@ def _anchors(buckets: int):
         def flush() -> pd.DataFrame:
             anchor, identity, doc, chunk, row, first, count = (np.concatenate(x) for x in zip(*held, strict=True))
             order, least = _least_of(anchor, identity, doc)
-            out = _answers(chunk[order[~least]], row[order[~least]], first[order[~least]], count[order[~least]])
+            answers = _answers(chunk[order[~least]], row[order[~least]], first[order[~least]], count[order[~least]])
+            out = [(c, c % buckets, kind, payload) for c, _, kind, payload in answers]
             rest = np.sort(order[least])
             anchor, identity, doc, chunk, row, first, count = (x[rest] for x in (anchor, identity, doc, chunk, row, first, count))
             bucket = (anchor >> np.uint64(20)) % np.uint64(buckets)
@@ -166,9 +167,15 @@ def _answers(chunk: np.ndarray, row: np.ndarray, first: np.ndarray, count: np.nd
 
 
 def _compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    """Runs that meet in a bucket: equal ones are answered; ones that share only the anchor have their bytes asked for."""
+    """Runs that meet in a bucket: equal ones are answered; ones that share only the anchor have their bytes asked for.
+
+    Answers that were found before travel through the same shuffle.
+    """
     parts = []
-    for payload in frame.payload:
+    ready = frame[frame.kind == 0]
+    if len(ready) == len(frame):
+        return ready
+    for payload in frame.payload[frame.kind == 1]:
         anchor, identity, owner, doc, chunk, row, first, count = _spread(payload, np.uint64, np.uint64, np.uint8, np.int64, np.int64, np.int32, np.int32, np.uint8)
         at = np.cumsum(owner) - 1
         parts.append((anchor, identity, doc[at], chunk[at], row[at].astype(np.int64), first.astype(np.int64), count.astype(np.int64)))
@@ -183,7 +190,7 @@ def _compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     kinds_differ = np.minimum.reduceat(i, starts) != np.maximum.reduceat(i, starts)
     wanted = least & (docs_differ & kinds_differ)[group]
     out += _answers(*(x[order[wanted]] for x in (chunk, row, first, count)), kind=2, bucket=key[0])
-    return pd.DataFrame(out, columns=["chunk", "bucket", "kind", "payload"])
+    return pd.concat([ready, pd.DataFrame(out, columns=["chunk", "bucket", "kind", "payload"])])
 
 
 def _excerpts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -282,7 +289,6 @@ def _resolve(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
 
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        out = []
         for ids, sizes, data, told in zip(frame.ids, frame.sizes, frame.data, frame.told, strict=True):
             sizes = np.asarray(sizes, np.int64)
             texts = _texts(data, sizes)
@@ -293,13 +299,13 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 start = base[row] + first
                 np.add.at(steps, start, 1)
                 np.add.at(steps, start + count + LEAST - 1, -1)
-            removed = np.cumsum(steps) > 0
+            removed, out = np.cumsum(steps) > 0, []
             for k, (doc, text) in enumerate(zip(ids, texts, strict=True)):
                 gone = removed[base[k] : base[k] + len(text)]
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
                 kept = text[~gone].tobytes()
                 out.append((doc, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
-        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -318,12 +324,12 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     chunks = keep(rows.mapInPandas(_chunks, "chunk long, ids array<long>, sizes array<int>, data binary"), "chunks")
     total = chunks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")).first().n or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
-    sent = keep(chunks.select("chunk", "ids", "sizes", "data").mapInPandas(_anchors(buckets), _REPLY), "runs")
-    met = keep(sent.where("kind = 1").groupBy("bucket").applyInPandas(_compare, _REPLY), "met")
+    sent = chunks.select("chunk", "ids", "sizes", "data").mapInPandas(_anchors(buckets), _REPLY)
+    met = keep(sent.groupBy("bucket").applyInPandas(_compare, _REPLY), "met")
     message = F.struct("bucket", "payload")
     asked = met.where("kind = 2").groupBy("chunk").agg(F.collect_list(message).alias("asked"))
     excerpts = chunks.join(asked, "chunk").select("chunk", "ids", "sizes", "data", "asked").mapInPandas(_excerpts, "bucket int, payload binary")
     resolved = keep(excerpts.groupBy("bucket").applyInPandas(_resolve, _REPLY), "resolved")
-    told = sent.where("kind = 0").union(met.where("kind = 0")).union(resolved).groupBy("chunk").agg(F.collect_list("payload").alias("told"))
+    told = met.where("kind = 0").union(resolved).groupBy("chunk").agg(F.collect_list("payload").alias("told"))
     out = chunks.join(told, "chunk", "left").select("ids", "sizes", "data", "told")
     return out.mapInPandas(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
