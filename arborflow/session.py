@@ -46,7 +46,7 @@ def work_root(spark: SparkSession) -> str:
     return _local_root[app]
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write once to shared storage and read back.
 
     The copy is columnar, so each reader loads only its columns; it survives executor
@@ -54,5 +54,5 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_root(spark)}/arborflow/{uuid.uuid4().hex}/{name}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
