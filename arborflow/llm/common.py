@@ -24,7 +24,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def text_blocks(frames: Iterator[pd.DataFrame], column: str, limit: int = BLOCK_CHARS) -> Iterator[pd.DataFrame]:
     """Cut Arrow batches into runs of rows of about `limit` characters, so that arrays stay small whatever a batch holds."""
     for frame in frames:
-        sizes = frame[column].str.len().fillna(0).to_numpy().astype(np.int64)
+        sizes = np.array([len(t) if isinstance(t, str) else 0 for t in frame[column]], np.int64)
         if not len(sizes):
             continue
         block = (np.cumsum(sizes) - 1).clip(0) // limit
