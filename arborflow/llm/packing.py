@@ -82,18 +82,17 @@ class WordTokenizer:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.place) > MEMORY:
             self.clear()
-        place = self.place
-        new = list(dict.fromkeys(w for words in split for w in words if w not in place))
-        if new:
-            self._learn(new)
-        out = []
-        for words in split:
-            at = np.array([place[w] for w in words])
-            sizes = self.sizes[at]
-            total = int(sizes.sum())
-            inside = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            out.append(self.pool[np.repeat(self.starts[at], sizes) + inside])
-        return out
+        flat = [w for words in split for w in words]
+        at = list(map(self.place.get, flat))
+        if None in at:
+            self._learn(list(dict.fromkeys(w for w, p in zip(flat, at, strict=True) if p is None)))
+            at = list(map(self.place.get, flat))
+        at = np.array(at, np.int64)
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        source = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        last = np.cumsum([len(words) for words in split]) - 1
+        return np.split(self.pool[source], ends[last[:-1]]) if texts else []
 
 
 @lru_cache(maxsize=1)
