@@ -130,18 +130,19 @@ def edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     rows = rows.select(F.xxhash64("doc_id", "text").alias("key"), F.hash("text", "doc_id").alias("check"), "doc_id", "text")
-    texts = rows.dropDuplicates(["key", "check"])
+    # both readers of the texts ask for the same columns, so that they share one shuffle
+    texts = rows.select("key", "check", "text").dropDuplicates(["key", "check"])
     ids = rows.select("key", "check", "doc_id", F.length("text").alias("n_chars")).distinct()
     order = [F.col("doc_id").desc_nulls_last(), F.col("key"), F.col("check")]
     ids = keep(numbered(ids, order, "order"), "numbered")
     total = ids.count()
     following = ids.select((F.when(F.col("place") == 1, total).otherwise(F.col("place") - 1)).alias("place"), F.col("key").alias("next_key"), F.col("check").alias("next_check"))
     readers = ids.join(following, "place")
-    heads = texts.withColumnsRenamed({"key": "next_key", "check": "next_check", "text": "next_text"}).drop("doc_id").join(
-        readers.select("key", "check", "place", "n_chars", "next_key", "next_check"), ["next_key", "next_check"]
+    heads = texts.withColumnsRenamed({"key": "next_key", "check": "next_check", "text": "next_text"}).join(
+        readers.select("key", "check", "doc_id", "place", "n_chars", "next_key", "next_check"), ["next_key", "next_check"]
     )
     third = F.floor(F.col("n_chars") / 3).cast("int")
-    heads = heads.select("key", "check", "place", "n_chars", F.substring("next_text", F.lit(1), third).alias("head"))
+    heads = heads.select("key", "check", "doc_id", "place", "n_chars", F.substring("next_text", F.lit(1), third).alias("head"))
     both = texts.join(heads, ["key", "check"]).withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - third), F.col("head")))
     found = both.select(
         "doc_id", "place", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
