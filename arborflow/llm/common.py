@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arborflow.session import keep
+from arborflow.session import keep, ship
 
 __all__ = ["components", "keep", "mixed", "numbered", "table", "text_blocks"]
 
@@ -18,6 +18,7 @@ BLOCK_CHARS = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

@@ -223,7 +223,9 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
                 fine = texts_of(wanted).mapInPandas(_fine(words), "n_shingles long, same_a long, same_b long, fine array<long>")
                 fine = keep(fine.select(F.xxhash64(*same).alias("id"), "fine").dropDuplicates(["id"]), "fine")
             open_rows = open_rows.join(fine, "id")
-            differ = F.aggregate(F.zip_with("c.fine", "o.fine", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+            differ = F.lit(0)
+            for k in range(FINE // 64):
+                differ = differ + F.bit_count(F.get("c.fine", F.lit(k)).bitwiseXOR(F.get("o.fine", F.lit(k))))
             alike = alike & (1 - 2 * differ / F.lit(float(FINE)) >= percent / 100 - threshold_slack(percent, FINE, 1))
         order = Window.partitionBy("bucket").orderBy(F.desc("popular"), "id")
         ranked = open_rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(SMALL, centres_now))
