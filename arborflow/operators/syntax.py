@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborflow.functions.ids import node_id
-from arborflow.session import keep
+from arborflow.session import keep, ship
 
 SCOPES = ["Module", "FunctionDef", "AsyncFunctionDef", "ClassDef"]
 FUNCTIONS = ["FunctionDef", "AsyncFunctionDef"]
@@ -208,6 +208,7 @@ def parse_files(files: DataFrame, lenient: bool = False, types: list[str] | None
     `files` needs file_id, path and content. Filter it before: predicates do not move below the parse.
     """
     chosen = frozenset(types) if types is not None else None
+    ship(files.sparkSession)
     return files.select("file_id", "path", "content").mapInArrow(_parser(lenient, chosen), SYNTAX)
 
 

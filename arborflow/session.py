@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,22 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that jobs may start from any folder."""
+    if getattr(spark.sparkContext, "_arborflow_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="arborflow-"), "arborflow.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(home)))
+    spark.sparkContext.addPyFile(path)
+    spark.sparkContext._arborflow_shipped = True
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's checkpoint folder.
 

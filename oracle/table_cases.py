@@ -410,10 +410,11 @@ def table_digest(spark, folder):
 _WORDS = ", ".join(f"coalesce(sum(CAST(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS UBIGINT) AS HUGEINT)), 0) AS w{i}" for i in range(8))
 
 
-def _digest(relation: str, columns: str) -> str:
+def _digest(relation: str, columns: list[str]) -> str:
+    parts = " || ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in columns)
     words = ", ".join(f"CAST(w{i} AS VARCHAR)" for i in range(8))
     return f"""SELECT n AS rows, sha256(concat_ws('-', CAST(n AS VARCHAR), {words})) AS digest FROM (
-  SELECT count(*) AS n, {_WORDS} FROM (SELECT sha256(concat_ws(chr(31), {columns})) AS h FROM {relation}) AS r) AS s"""
+  SELECT count(*) AS n, {_WORDS} FROM (SELECT sha256({parts}) AS h FROM {relation}) AS r) AS s"""
 
 
 def unique_check(spark, folder):
@@ -440,7 +441,7 @@ SELECT documents, distinct_files, other_documents, doc_content_hash, doc_offset,
   SELECT count(*) AS documents, count(DISTINCT _id) AS distinct_files, count(*) FILTER (_id <> '0') AS other_documents,
     max(content_hash) FILTER (_id = '0') AS doc_content_hash, max(kafka_offset) FILTER (_id = '0') AS doc_offset
   FROM {SQL_DOCS} AS d WHERE repo_id = 'src0') AS a,
-  ({_digest("(SELECT * FROM " + SQL_DOCS + " AS d WHERE repo_id = 'src0' AND _id <> '0') AS o", "_id, content_hash, CAST(kafka_offset AS VARCHAR)")}) AS b"""
+  ({_digest("(SELECT * FROM " + SQL_DOCS + " AS d WHERE repo_id = 'src0' AND _id <> '0') AS o", ["_id", "content_hash", "CAST(kafka_offset AS VARCHAR)"])}) AS b"""
 
 
 def document_preview(spark, folder):
@@ -584,7 +585,7 @@ _CASES = {
     placeholder_nodes: SQL_PLACEHOLDER, detach_delete: SQL_DETACH, graph_fold_nodes: SQL_FOLD_NODES,
     graph_fold_edges: SQL_FOLD_EDGES, graph_snapshot: SQL_SNAPSHOT,
     edges_by_kind: SQL_GRAPH + " SELECT kind, count(*) AS count FROM edges GROUP BY kind",
-    table_digest: _digest("orders", "CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus"),
+    table_digest: _digest("orders", ["CAST(o_orderkey AS VARCHAR)", "CAST(o_custkey AS VARCHAR)", "o_orderstatus"]),
     unique_check: "SELECT count(*) AS rows, count(DISTINCT l_orderkey) AS distinct_rows, count(*) = count(DISTINCT l_orderkey) AS is_unique FROM lineitem",
     document_snapshot: SQL_DOC_SNAPSHOT,
     document_preview: f"SELECT _id, path, content_hash, kafka_offset FROM {SQL_DOCS} AS d ORDER BY _id LIMIT 5",
