@@ -19,8 +19,10 @@ BITS = 2
 SLACK = 4.5
 #: Minima of the finer signature, one bit of each, that members of buckets get which one star could not settle.
 FINE = 2048
-#: A bucket of so many members is compared whole in one round; a larger one by stars around 1, 8, 64, ... centres a round.
+#: A bucket of so many members is compared whole in one round; a larger one by a star, then by 8 stars, then in blocks.
 SMALL = 8
+#: Members of a block: what is left of a bucket after its stars is compared block against block.
+BLOCK = 2048
 _rng = np.random.default_rng(20250107)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -167,6 +169,65 @@ def likeness(a: str, b: str) -> Column:
     return (1 - differ / F.lit(float(BANDS * ROWS)) - chance) / (1 - chance)
 
 
+def _block_pairs(percent: int):
+    """Pairs of one block, or between two, that the finer signature does not rule out.
+
+    Documents of one component are not compared, and a pair is told only by the first open bucket that it shares."""
+    least = percent / 100 - threshold_slack(percent, FINE, 1)
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        left = rows[rows.left]
+        right = rows[~rows.left] if rows.other.iat[0] != rows.block.iat[0] else left
+        first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        fine = np.stack(right.fine.to_list()).view(np.uint64) if len(right) else None
+        bucket = rows.bucket.iat[0]
+        shared = [np.stack([np.asarray(x, np.int64) for x in side.mine]) for side in (left, right) if len(side)]
+        for at in range(len(left) if len(right) else 0):
+            here = left.iloc[at]
+            some = np.flatnonzero((right.component.values != here.component) & (100 * np.minimum(right.n.values, here.n) >= percent * np.maximum(right.n.values, here.n)))
+            differ = np.bitwise_count(fine[some] ^ np.asarray(here.fine).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            some = some[1 - 2 * differ / FINE >= least]
+            if len(some):
+                same = (shared[1][some] == shared[0][at]) & (shared[0][at] != 0)
+                some = some[shared[0][at][same.argmax(axis=1)] == bucket]
+                first[0].append(np.full(len(some), here.id, np.int64))
+                first[1].append(right.id.values[some])
+        a, b = np.concatenate(first[0]), np.concatenate(first[1])
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+    return compare
+
+
+def in_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different components among all members of each bucket.
+
+    `rows` hold bucket, band, id, component, n and fine. The largest component of a bucket is never compared with itself;
+    the others meet it and each other in blocks of about BLOCK members, one task's group being two blocks at most."""
+    counts = rows.groupBy("bucket", "component").agg(F.count("*").alias("m"))
+    main = counts.groupBy("bucket").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("m"))
+    main = main.select(
+        "bucket", F.col("top.component").alias("main"),
+        F.ceil(F.col("top.m") / BLOCK).alias("main_blocks"), F.ceil((F.col("m") - F.col("top.m")) / BLOCK).alias("blocks"),
+    )
+    slots = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.coalesce(F.element_at("held", k), F.lit(0).cast("long")))
+    mine = rows.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("band", "bucket"))).alias("held")).select("id", slots.alias("mine"))
+    # blocks of the main component are numbered below 0, the others from 0
+    in_main = F.col("component") == F.col("main")
+    block = F.when(in_main, -1 - F.pmod(F.xxhash64("id"), "main_blocks")).otherwise(F.pmod(F.xxhash64("id"), F.col("blocks")))
+    placed = rows.select("bucket", "id", "component", "n", "fine").join(main, "bucket").withColumn("at", block).join(mine, "id")
+
+    def pair(block: Column, other: Column, left: bool) -> Column:
+        return F.struct(block.alias("block"), other.alias("other"), F.lit(left).alias("left"))
+
+    others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    as_left = F.transform(F.sequence(-F.col("main_blocks"), F.col("blocks") - 1), lambda o: pair(F.col("at"), o, True))
+    as_left = F.filter(as_left, lambda p: (p["other"] < 0) | (p["other"] >= p["block"]))
+    as_right = F.filter(F.transform(others, lambda b: pair(b, F.col("at"), False)), lambda p: (p["other"] < 0) | (p["other"] > p["block"]))
+    dealt = placed.withColumn("pair", F.explode(F.when(in_main, as_right).otherwise(F.concat(as_left, as_right))))
+    dealt = dealt.select("bucket", "pair.*", "id", "component", "n", "fine", "mine")
+    return dealt.groupBy("bucket", "block", "other").applyInPandas(_block_pairs(percent), "a long, b long").distinct()
+
+
 def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Near-duplicate classes: rows (doc_id, n_shingles, component_id, kept), one per row of `docs`.
 
@@ -180,8 +241,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
 
     Equal sets collapse to one representative first, so groups of copies never meet as pairs. Bands of minima give
     buckets of representatives; b-bit estimates drop pairs far below the threshold, the rest is confirmed. Large buckets
-    are compared in rounds by stars around their best-connected members, until all that is left of a bucket is in one
-    component or has been a centre: no pair of different components goes unchecked. From the second round on, a finer
+    are compared by stars around their best-connected members in two rounds; what is left of a bucket in more than one
+    component is compared in blocks, so no pair of different components goes unchecked. From the second round on, a finer
     signature of the few documents left in open buckets keeps pairs just below the threshold from being made.
     """
     spark = docs.sparkSession
@@ -195,13 +256,13 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
     first = keyed.join(light, ["id", "doc_id"], "left_semi").dropDuplicates(["id"])
     first = keep(first.select("id", "n_shingles", "bands", *(f"s{k}" for k in range(2 * BITS))), "representatives")
     facts = first.select("id", F.col("n_shingles").alias("n"), *(f"s{k}" for k in range(2 * BITS)))
-    banded = first.select("id", F.posexplode("bands").alias("band", "key")).select("id", F.xxhash64("band", "key").alias("bucket"))
+    banded = first.select("id", F.posexplode("bands").alias("band", "key")).select("id", "band", F.xxhash64("band", "key").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.count("*").alias("m"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("h")).where("m > 1")
     # bands of equal membership ask the same question: one of them is enough
     buckets = buckets.groupBy("m", "h").agg(F.min("bucket").alias("bucket"), F.count("*").alias("times"))
     members = keep(banded.join(buckets.select("bucket", "m", "times"), "bucket"), "members")
     popular = members.groupBy("id").agg(F.sum(F.col("m") * F.col("times")).alias("popular"))
-    active = members.select("bucket", "id").distinct().join(popular, "id").join(facts, "id").withColumn("component", F.col("id"))
+    active = members.select("bucket", "band", "id").join(popular, "id").join(facts, "id").withColumn("component", F.col("id"))
     active = keep(active, "active")
     sets = edges = links = fine = None
 
@@ -216,24 +277,29 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
         open_rows = keep(active.join(size, "bucket"), "open")
         if open_rows.isEmpty():
             break
-        alike = likeness("c", "o") >= percent / 100 - threshold_slack(percent, BANDS * ROWS, BITS)
         if centres_now > 1:
             if fine is None:
                 wanted = open_rows.select("id").distinct()
                 fine = texts_of(wanted).mapInPandas(_fine(words), "n_shingles long, same_a long, same_b long, fine array<long>")
                 fine = keep(fine.select(F.xxhash64(*same).alias("id"), "fine").dropDuplicates(["id"]), "fine")
             open_rows = open_rows.join(fine, "id")
-            differ = F.lit(0)
-            for k in range(FINE // 64):
-                differ = differ + F.bit_count(F.get("c.fine", F.lit(k)).bitwiseXOR(F.get("o.fine", F.lit(k))))
-            alike = alike & (1 - 2 * differ / F.lit(float(FINE)) >= percent / 100 - threshold_slack(percent, FINE, 1))
-        order = Window.partitionBy("bucket").orderBy(F.desc("popular"), "id")
-        ranked = open_rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(SMALL, centres_now))
-        centres = keep(ranked.where((F.col("m") <= SMALL) | (F.col("place") <= centres_now)).drop("m"), "centres")
-        pairs = centres.alias("c").join(open_rows.alias("o"), "bucket").where(
-            "c.id <> o.id and c.component <> o.component and 100 * least(c.n, o.n) >= {0} * greatest(c.n, o.n)".format(percent)
-        ).where(alike)
-        pairs = pairs.select(F.least("c.id", "o.id").alias("a"), F.greatest("c.id", "o.id").alias("b")).distinct()
+        last = centres_now > SMALL
+        if last:
+            pairs = in_blocks(open_rows, percent)
+        else:
+            alike = likeness("c", "o") >= percent / 100 - threshold_slack(percent, BANDS * ROWS, BITS)
+            if fine is not None:
+                differ = F.lit(0)
+                for k in range(FINE // 64):
+                    differ = differ + F.bit_count(F.get("c.fine", F.lit(k)).bitwiseXOR(F.get("o.fine", F.lit(k))))
+                alike = alike & (1 - 2 * differ / F.lit(float(FINE)) >= percent / 100 - threshold_slack(percent, FINE, 1))
+            order = Window.partitionBy("bucket").orderBy(F.desc("popular"), "id")
+            ranked = open_rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(SMALL, centres_now))
+            centres = keep(ranked.where((F.col("m") <= SMALL) | (F.col("place") <= centres_now)).drop("m"), "centres")
+            pairs = centres.alias("c").join(open_rows.alias("o"), "bucket").where(
+                "c.id <> o.id and c.component <> o.component and 100 * least(c.n, o.n) >= {0} * greatest(c.n, o.n)".format(percent)
+            ).where(alike)
+            pairs = pairs.select(F.least("c.id", "o.id").alias("a"), F.greatest("c.id", "o.id").alias("b")).distinct()
         if edges is not None:
             pairs = pairs.join(edges.select("a", "b"), ["a", "b"], "left_anti")
         pairs = keep(pairs, "pairs")
@@ -256,6 +322,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
             judged = keep(judged, "judged")
             edges = judged if edges is None else edges.union(judged)
             links = components(edges.where("linked").select("a", "b"))
+        if last:
+            break
         rest = open_rows.drop("m", "fine").join(centres.select("bucket", "id"), ["bucket", "id"], "left_anti")
         if links is not None:
             rest = rest.drop("component").join(links, "id", "left").withColumn("component", F.coalesce("component", "id"))
