@@ -66,6 +66,21 @@ def test_neardup_against_all_pairs(docs, empty, rows):
     assert len({v[1] for v in got.values()}) < len(rows) - 2
 
 
+def test_neardup_blocks_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    rng = np.random.default_rng(3)
+    centres = rng.integers(-(1 << 62), 1 << 62, (3, neardup.FINE // 64))
+    fine = {k: centres[k % 3] for k in range(40)}
+    component = {k: 0 if k < 18 else k - k % 2 for k in fine}
+    size = {k: 100 if k % 7 else 10 for k in fine}
+    buckets = {(11, 0): range(40), (12, 3): range(10, 30), (13, 27): range(25, 40)}
+    rows = [(b, band, k, component[k], size[k], fine[k].tolist()) for (b, band), ids in buckets.items() for k in ids]
+    table = spark.createDataFrame(rows, "bucket long, band int, id long, component long, n long, fine array<long>")
+    got = [(r.a, r.b) for r in neardup.in_blocks(table, 80).collect()]
+    want = {(a, b) for a in fine for b in fine if a < b and a % 3 == b % 3 and component[a] != component[b] and size[a] == size[b]}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_substrings_against_dictionary(docs, empty, rows):
     first, want = {}, {}
     data = {r[0]: (r[1] or "").encode() for r in rows}
