@@ -29,13 +29,31 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 RUN_LEAST = 16
 #: Guard against decompression bombs: a layer ends after so many bytes, and the row says so in `cut_layers`.
 LAYER_BYTES = 64 << 20
+#: Compressed bytes given to an engine at once: what is read before a fault is kept in such steps.
+FEED_BYTES = 256
 REPLACEMENT = "[secret]"
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,depth:int>>"
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
+# runs go on over single line breaks, with what indents the next line
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++|(?<=[A-Za-z0-9+/_-]{16}))")
 _PART = re.compile(r"[A-Za-z0-9]{16,}")
+#: Base64 of the first bytes of compressed data, the bytes themselves, and what hints at them in escaped bytes.
+_PACKED_RUN = re.compile(r"H4sI|e[AFJN]|Qlpo|/Td6WFo|_Td6WFo|KLUv")
+_PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9](?=1AY&SY)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+_URL_BYTE = re.compile(r"%([0-9A-Fa-f]{2})|([\x00-\xff])")
+_ESCAPED_BYTE = re.compile(r"\\x([0-9A-Fa-f]{2})|\\u00([0-9A-Fa-f]{2})|\\([abfnrtv0\\'\"])|([\x00-\xff])")
+_SHORT = dict(zip("abfnrtv0\\'\"", b"\a\b\f\n\r\t\v\0\\'\"", strict=True))
+# compressed data has bytes from 128 on, which are escaped
+_URL_HINT = re.compile(r"%[89A-Fa-f][0-9A-Fa-f]|BZh")
+_ESCAPED_HINT = re.compile(r"\\(?:x|u00)[0-9A-Fa-f]{2}")
+_NO_BYTE = re.compile(r"[\r\nĀ-\U0010ffff]")
+# two-byte characters, low or high byte first
+_WIDE = re.compile(r"(?<!\x00)(?:[\x01-\xff]\x00){4,}|(?<![\x01-\xff])(?:\x00[\x01-\xff]){4,}")
+# bytes that are no clean text are looked at if they hold the beginning of a pattern or of another layer
+_WORTH = re.compile(rb"(?i)akia|passw|secret|token|api_?key|[a-z0-9+/_-]{16}|[a-z0-9+/_-]{4}[ \t]*\r?\n[ \t]*[a-z0-9+/_-]{4}|%[0-9a-f]{2}|\\[ux]|(?:[^\x00]\x00){4}|(?:\x00[^\x00]){4}")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -53,41 +71,71 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def _unpacked(data: bytes) -> tuple[bytes | None, bool]:
-    """What compressed bytes hold (None if they are not), and whether the guard ended it."""
+def _engine(data: bytes):
     if data[:2] == b"\x1f\x8b":
-        engine = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-        engine = zlib.decompressobj(15)
-    elif data[:3] == b"BZh":
-        engine = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        engine = lzma.LZMADecompressor(memlimit=256 << 20)
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
+        return zlib.decompressobj(15)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(memlimit=256 << 20)
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor(max_window_size=128 << 20).decompressobj()
+    return None
+
+
+def _unpacked(data: bytes) -> tuple[bytes | None, bool, bytes]:
+    """What compressed bytes hold (None if they are not), whether the guard ended it, and the bytes after it.
+
+    Members that follow each other are one text. Of broken data, what could be read up to the fault counts.
+    """
+    out, size, some = [], 0, False
+    while (engine := _engine(data)) is not None:
+        at, before, zstd = 0, size, data[:4] == b"\x28\xb5\x2f\xfd"
         try:
-            with zstandard.ZstdDecompressor(max_window_size=128 << 20).stream_reader(data) as reader:
-                out = reader.read(LAYER_BYTES)
-                return out, len(out) == LAYER_BYTES and bool(reader.read(1))
-        except zstandard.ZstdError:
-            return None, False
-    else:
-        return None, False
-    try:
-        out = engine.decompress(data, LAYER_BYTES)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            while at < len(data) and not engine.eof:
+                piece = data[at : at + FEED_BYTES]
+                at += len(piece)
+                while True:
+                    new = engine.decompress(piece) if zstd else engine.decompress(piece, LAYER_BYTES - size + 1)
+                    out.append(new)
+                    size += len(new)
+                    if size > LAYER_BYTES:
+                        return b"".join(out)[:LAYER_BYTES], True, b""
+                    piece = getattr(engine, "unconsumed_tail", b"")
+                    if not piece and (engine.eof or getattr(engine, "needs_input", True)):
+                        break
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError, zstandard.ZstdError):
+            if size > before:
+                some = True
+            break
+        if not engine.eof:  # cut off
+            some = some or size > before
+            data = b""
+            break
+        some = True
+        data = engine.unused_data + data[at:]
+        if _engine(data.lstrip(b"\0")) is not None:
+            data = data.lstrip(b"\0")
+    return (b"".join(out), False, data) if some else (None, False, data)
+
+
+def _inner(data: bytes) -> tuple[bytes | None, bool]:
+    """What bytes hold that are compressed once or more (None if they are not), with what follows them."""
+    inner, over, rest = _unpacked(data)
+    if inner is None:
         return None, False
-    return out, len(out) >= LAYER_BYTES
+    while (again := _unpacked(inner))[0] is not None:
+        inner, over = again[0] + again[2], over or again[1]
+    return inner + (b"\n" + rest if rest else b""), over
 
 
-def _bytes_of(run: str) -> bytes | None:
+def _bytes_of(run: str) -> bytes:
+    """What a run holds; a last character that belongs to no byte is left out."""
     body = run.replace("-", "+").replace("_", "/")
-    extra = len(body) % 4
-    if extra == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except ValueError:
-        return None
+    body = body[:-1] if len(body) % 4 == 1 else body
+    return base64.b64decode(body + "=" * (-len(body) % 4))
 
 
 def _readable(data: bytes) -> str | None:
@@ -161,41 +209,119 @@ def _from_escapes(layer: _Layer) -> _Layer | None:
     return _rewritten(layer, pieces) if pieces else None
 
 
+def _from_wide(layer: _Layer) -> _Layer | None:
+    """Two-byte characters (UTF-16) whose other bytes are zero, as characters."""
+    pieces = []
+    for m in _WIDE.finditer(layer.text):
+        first = np.arange(m.start(), m.end(), 2)
+        pieces.append((m.start(), m.end(), m.group().replace("\0", ""), first, first + 1))
+    return _rewritten(layer, pieces) if pieces else None
+
+
+def _from_bytes(layer: _Layer, byte: re.Pattern) -> tuple[list[_Layer], int]:
+    """A layer for each piece of compressed data that is written as escaped bytes; and how many the guard ended."""
+    found, cut, text = [], 0, layer.text
+    ends = [m.start() for m in _NO_BYTE.finditer(text)] + [len(text)]
+    at = 0
+    for end in ends:
+        if end - at > 8 and ("%" in text[at:end] or "\\" in text[at:end]):
+            data, place = bytearray(), []
+            for m in byte.finditer(text, at, end):
+                *codes, plain = m.groups()
+                code = next((g for g in codes if g), None)
+                data.append(ord(plain) if plain else _SHORT[code] if len(code) == 1 else int(code, 16))
+                place.append((m.start(), m.end()))
+            data, done = bytes(data), 0
+            for m in _PACKED.finditer(data):
+                if m.start() < done:
+                    continue
+                inner, over, rest = _unpacked(data[m.start() :])
+                if not inner:
+                    continue
+                done = max(m.end(), len(data) - len(rest))
+                while (again := _unpacked(inner))[0] is not None:
+                    inner, over = again[0] + again[2], over or again[1]
+                new, (a, b) = inner.decode("utf-8", "replace"), (place[m.start()][0], place[done - 1][1])
+                start, last = layer.maps()
+                cut += over
+                found.append(_Layer(new, np.full(len(new), start[a]), np.full(len(new), last[b - 1]), layer.depth + 1))
+        at = end + 1
+    return found, cut
+
+
+def _from_run(layer: _Layer, lines: list[tuple[int, str]], clean: bool) -> tuple[_Layer | None, bool, bool]:
+    """The layer that lines (place, characters) of one run hold, whether it is compressed or clean text, and whether the guard ended it.
+
+    With `clean`, nothing else is taken; else bytes that are no clean text are read as UTF-8 or, byte by byte, as Latin-1.
+    """
+    run = "".join(t for _, t in lines)
+    data = _bytes_of(run) if len(run) >= RUN_LEAST else b""
+    if not data:
+        return None, False, False
+    inner, over = _inner(data)
+    text = _readable(data) if inner is None else inner.decode("utf-8", "replace")
+    good = bool(text)
+    if not good and not clean and _WORTH.search(data):
+        text = data.decode("utf-8" if _is_utf8(data) else "latin-1")
+    if not text:
+        return None, False, False
+    start, end = layer.maps()
+    place = np.concatenate([np.arange(at, at + len(t)) for at, t in lines])
+    if inner is not None:
+        return _Layer(text, np.full(len(text), start[place[0]]), np.full(len(text), end[place[-1]]), layer.depth + 1), True, over
+    if len(text) == len(data):
+        width = np.ones(len(text), np.int64)
+    else:
+        width = np.array([len(c.encode("utf-8")) for c in text])
+    byte = np.cumsum(width) - width
+    first = start[place[byte * 4 // 3]]
+    last = end[place[np.minimum(((byte + width) * 8 + 5) // 6 - 1, len(place) - 1)]]
+    return _Layer(text, first, last, layer.depth + 1), good, over
+
+
 def _from_base64(layer: _Layer) -> tuple[list[_Layer], int]:
-    """A layer of its own for each run that decodes to text or to something compressed; and how many the guard ended."""
+    """Layers of the runs, those over several lines as wholes and by line; and how many the guard ended."""
     found, cut = [], 0
-    start, end = None, None
+
+    def took(lines: list[tuple[int, str]], clean: bool = False) -> bool:
+        nonlocal cut
+        new, good, over = _from_run(layer, lines, clean)
+        cut += over
+        if new is not None:
+            found.append(new)
+        return good
+
     for m in _RUN.finditer(layer.text):
-        whole = m.group()
-        parts = [(m.start(), whole)]
-        if not whole.isalnum():
-            parts += [(m.start() + p.start(), p.group()) for p in _PART.finditer(whole)]
-        for at, run in parts:
-            data = _bytes_of(run)
-            if not data:
-                continue
-            inner, over = _unpacked(data)
-            packed = inner is not None
-            while packed:  # compressed twice
-                again, more = _unpacked(inner)
-                if again is None:
+        lines = [(x.start(), x.group()) for x in _LINE.finditer(layer.text, m.start(), m.end())]
+        left = set(range(len(lines)))
+        k = 0
+        while k < len(lines) - 1:  # lines of one length and a shorter last one
+            n, last = len(lines[k][1]), k
+            while last + 1 < len(lines) and len(lines[last + 1][1]) == n:
+                last += 1
+            stop = last + 1 < len(lines) and len(lines[last + 1][1]) < n
+            for to in [last + 1, last] if stop else [last]:
+                if to > k and took(lines[k : to + 1], clean=True):
+                    left -= set(range(k, to + 1))
+                    last = to
                     break
-                inner, over = again, over or more
-            text = _readable(data) if not packed else inner.decode("utf-8", "replace")
-            if not text:
+            k = max(last, k + 1)
+        if len(lines) > 1 and left:  # other breaks: from the first line of each remainder of four, and where something compressed begins
+            at, seen = 0, set()
+            for k, (_, t) in enumerate(lines):
+                if k in left and (at % 4 not in seen or _PACKED_RUN.match(t)):
+                    fresh = at % 4 not in seen
+                    seen.add(at % 4)
+                    if k < len(lines) - 1 and took(lines[k:], clean=not fresh):
+                        left -= set(range(k, len(lines)))
+                        break
+                at += len(t)
+        for k in sorted(left):
+            at, whole = lines[k]
+            if len(whole) < RUN_LEAST or took([(at, whole)]) or whole.isalnum():
                 continue
-            cut += over
-            if start is None:
-                start, end = layer.maps()
-            if packed:
-                first, last = np.full(len(text), start[at]), np.full(len(text), end[at + len(run) - 1])
-            else:
-                width = np.array([len(c.encode("utf-8")) for c in text]) if len(text) != len(data) else np.ones(len(text), np.int64)
-                byte = np.cumsum(width) - width
-                first = start[at + byte * 4 // 3]
-                last = end[np.minimum(at + ((byte + width) * 8 + 5) // 6 - 1, at + len(run) - 1)]
-            found.append(_Layer(text, first, last, layer.depth + 1))
-            break  # the run as a whole made sense
+            for p in _PART.finditer(whole):
+                took([(at + p.start(), p.group())])
     return found, cut
 
 
@@ -215,8 +341,18 @@ def scan_text(text: str) -> tuple[list[tuple[int, int, str, int]], int]:
         inner = []
         if "%" in layer.text:
             inner.append(_from_url(layer))
+            if _URL_HINT.search(layer.text):
+                more, over = _from_bytes(layer, _URL_BYTE)
+                inner += more
+                cut += over
         if "\\" in layer.text:
             inner.append(_from_escapes(layer))
+            if _ESCAPED_HINT.search(layer.text):
+                more, over = _from_bytes(layer, _ESCAPED_BYTE)
+                inner += more
+                cut += over
+        if "\0" in layer.text:
+            inner.append(_from_wide(layer))
         more, over = _from_base64(layer)
         cut += over
         for new in [*inner, *more]:
@@ -247,8 +383,10 @@ def scan(docs: DataFrame, text: str = "text", spans: str = "secret_spans", clean
 
     Spans are sorted by start, then kind in the order of KINDS, then end; code points, end exclusive; depth 0 is the text
     itself, greater depths are decoded layers, mapped to the stretch of the text that they came from. URL escapes and
-    Unicode escapes are decoded within the whole layer, base64 runs (also URL-safe and unpadded ones, but not ones broken
-    over lines) and compressed data (gzip, zlib, bzip2, xz, zstandard) as layers of their own, until nothing new appears.
+    Unicode escapes and two-byte characters are decoded within the whole layer, base64 runs (also URL-safe, unpadded and
+    over single line breaks) and compressed data (gzip, zlib, bzip2, xz, zstandard; in base64 or as escaped bytes, with
+    all members, broken data as far as it can be read) as layers of their own, until nothing new appears. Bytes that are
+    no UTF-8 are read as Latin-1.
     A null text counts as empty: no spans, and its clean text stays null. Rows, ties and repeats stay as they are; columns
     of `docs` with the three new names are replaced.
     """

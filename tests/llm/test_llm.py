@@ -1,8 +1,10 @@
 """The training-data operators against plain versions on small tables with nulls, ties, repeats and clashing columns."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import zlib
@@ -10,6 +12,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 from arborflow.llm import fingerprints, forest, language, mixing, neardup, packing, pages, passages, secrets, substrings
@@ -206,6 +209,40 @@ def test_secrets_in_layers():
     assert secrets.scan_text("%25" * 50 + "%")[0] == []
 
 
+def test_secrets_in_wrapped_packed_and_binary_layers():
+    key = "AKIA" + "Q7" * 8
+
+    def covers(text, start=0, end=None):
+        spans = [s for s in secrets.scan_text(text)[0] if s[2] == "access"]
+        return any(start <= s[0] < s[1] <= (end or len(text)) for s in spans)
+
+    def wrapped(data, width, end="\n"):
+        b64 = base64.b64encode(data).decode()
+        return end.join(b64[k : k + width] for k in range(0, len(b64), width))
+
+    plain = f"{'some words ' * 4}x {key} {'and more ' * 9}".encode()
+    for width in (20, 64, 76):
+        for end in ("\n", "\r\n", "\n    "):
+            assert covers(f"Certificate\n{wrapped(plain, width, end)}\nThanks\nBye")
+    packed = gzip.compress(bytes(range(256)) * 2 + plain)
+    assert covers("x " + wrapped(packed, 64)) and covers("Data\n" + wrapped(packed, 50))
+    url = "".join(f"%{b:02X}" for b in packed)
+    assert covers(f"see {url} end", 4, 4 + len(url))
+    import urllib.parse
+
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+        assert covers("q=" + urllib.parse.quote_from_bytes(pack(plain)) + "&r=1")
+        assert covers("blob = " + repr(pack(plain)))
+        two = pack(b"first member of it") + pack(plain)
+        assert covers(base64.b64encode(two).decode())
+    cut = gzip.compress(plain + random.Random(1).randbytes(4000))
+    assert covers(base64.b64encode(cut[:-900]).decode()) and covers(base64.b64encode(cut[:2000] + b"\xff" * 900).decode())
+    for code in ("utf-16-le", "utf-16-be", "utf-16"):
+        assert covers(base64.b64encode(f"run é {key} now".encode(code)).decode())
+    assert covers(base64.b64encode(b"user\0" + key.encode() + b"\0host").decode())
+    assert covers(base64.b64encode(b"\xff\xfe\x00\x81" + key.encode() + b"\x90\x01\xfe").decode())
+
+
 def test_secrets_keep_rows(docs, empty, rows):
     got = {r.doc_id: r for r in secrets.scan(docs).collect()}
     assert set(got) == {r[0] for r in rows} and all(r.clean_text == dict((x[0], x[1]) for x in rows)[k] for k, r in got.items())
