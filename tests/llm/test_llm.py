@@ -5,6 +5,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import math
 import random
 import re
 import zlib
@@ -122,6 +123,11 @@ def test_passages_cover_shared_ones(docs, empty, rows):
     assert passages.near_passages(empty).count() == 0
 
 
+def test_passages_share_enough_minima():
+    n, p = passages.HASHES, passages.PERCENT / 100
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.SHARED)) < 1e-6
+
+
 def test_compact_windows_are_all_sequences_of_a_minimum():
     value = np.append(np.random.default_rng(1).permutation(40) + 1, 0).astype(np.uint64)
     spans = {(int(c), int(l), int(r)) for c, l, r in zip(*passages.compact_windows(value, 5), strict=True)}
