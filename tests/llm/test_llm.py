@@ -123,6 +123,39 @@ def test_passages_cover_shared_ones(docs, empty, rows):
     assert passages.near_passages(empty).count() == 0
 
 
+def test_passages_of_variant_families(spark, monkeypatch):
+    monkeypatch.setattr(passages, "BLOCK", 8)
+    rng = random.Random(11)
+
+    def changed(text, n):
+        words = text.split()
+        for k in rng.sample(range(len(words)), n):
+            words[k] = "".join(rng.choice("klmnop") for _ in range(5))
+        return " ".join(words)
+
+    table = []
+    for _ in range(8):
+        first = prose(rng, 90)
+        half = first.split()[:45]
+        table.append(first)
+        for _ in range(4):  # half of each is the first one's, so minima of the family meet the first one
+            other = " ".join(half + prose(rng, 55).split())
+            table += [changed(other, 1) for _ in range(3)]
+    line = "one line that is part of a great many texts without any more in common"
+    table += [f"{prose(rng, 40)} {line} {prose(rng, 40)}" for _ in range(30)]
+    near = prose(rng, 70)
+    table += [f"{near} {line}", f"{line} {changed(near, 1)}", f"{prose(rng, 60)} {line} {changed(near, 1)}"]
+    sets = [shingle_set(t, 5) for t in table]
+    want = {b for a in range(len(table)) for b in range(a + 1, len(table)) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    docs = spark.createDataFrame(list(enumerate(table)), "doc_id long, text string").repartition(3)
+    found = passages.near_passages(docs).collect()
+    assert want <= {r.doc_id for r in found} and {len(table) - 2, len(table) - 1} <= {r.doc_id for r in found}
+    words = [t.split() for t in table]
+    for r in found:
+        a, b = shingle_set(" ".join(words[r.doc_id][r.start : r.end]), 5), shingle_set(" ".join(words[r.match_doc_id][r.match_start : r.match_end]), 5)
+        assert r.match_doc_id < r.doc_id and len(a & b) >= 0.8 * len(a | b)
+
+
 def test_passages_share_enough_minima():
     n, p = passages.HASHES, passages.PERCENT / 100
     assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passages.SHARED)) < 1e-6
