@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -31,17 +32,19 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that jobs may start from any folder."""
+    """Send this package to the executors, once per application, so that jobs may start from any folder.
+
+    Whatever runs Python on the executors calls this first; `keep` does so too. The modules
+    travel compiled, since a worker would compile them anew each time it imports from the zip.
+    """
     if getattr(spark.sparkContext, "_arborflow_shipped", False):
         return
     home = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="arborflow-"), "arborflow.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for folder, _, names in os.walk(home):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    out.write(full, os.path.relpath(full, os.path.dirname(home)))
+    folder = tempfile.mkdtemp(prefix="arborflow-")
+    path = os.path.join(folder, "arborflow.zip")
+    copy = shutil.copytree(home, os.path.join(folder, "arborflow"), ignore=shutil.ignore_patterns("__pycache__"))
+    with zipfile.PyZipFile(path, "w") as out:
+        out.writepy(copy)
     spark.sparkContext.addPyFile(path)
     spark.sparkContext._arborflow_shipped = True
 
@@ -71,6 +74,7 @@ def keep(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     loss, and plans built on it start from a scan instead of the whole lineage.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{work_root(spark)}/arborflow/{uuid.uuid4().hex}/{name}"
     df.write.mode("errorifexists").parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
