@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborflow.llm import fingerprints, forest, language, mixing, neardup, packing, pages, passages, secrets, substrings
+from arborflow.llm import embdup, fingerprints, forest, language, mixing, neardup, negatives, packing, pages, passages, secrets, substrings, whitening
 from arborflow.llm.common import table
 
 
@@ -110,6 +110,57 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 8 components of the whole table."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), top=8)
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every row whose id is divisible by 100; rows with an id divisible by 7 carry the next label."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0, positives=5, top=5, low=80, high=100)
+
+
+_SOUND = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0"
+OP12_SQL = f"""
+WITH r AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(CAST(c AS DOUBLE) * 256)) AS x
+    FROM embeddings WHERE label IS NOT NULL AND {_SOUND}
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+    FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+        s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+)
+SELECT * FROM n WHERE rank <= 5
+"""
+
+
+def op13_embdup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of the same label among all vectors."""
+    return embdup.link(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+OP13_SQL = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE {_SOUND} AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), p AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reached(id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, p.b FROM reached r JOIN p ON r.other = p.a
+), c AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id), n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT id AS vec_id, coalesce(n_links, 0) AS n_links, component_id, component_id = id AS kept FROM c LEFT JOIN n ON n.a = c.id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_nearest": op2_nearest,
@@ -121,5 +172,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pages": op8_pages,
     "op9_fingerprints": op9_fingerprints,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
+    "op12_negatives": op12_negatives,
+    "op13_embdup": op13_embdup,
 }
-SQL: dict[str, str] = {"op5_mixing": OP5_SQL}
+SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op12_negatives": OP12_SQL, "op13_embdup": OP13_SQL}
