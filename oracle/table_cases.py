@@ -331,7 +331,7 @@ SELECT id, kind, source_id, target_id, file_id FROM edges WHERE l_linenumber <>
 
 
 def _graph_events(spark, folder) -> DataFrame:
-    """One batch: lines as edge upserts or deletes, parts as node upserts or deletes, some ids twice."""
+    """Lines as edge upserts or deletes, after parts as node upserts or deletes, some ids twice."""
     edges, nodes = _line_edges(spark, folder), _part_nodes(spark, folder)
     node, edge = (
         "struct<id: string, kind: string, ast_type: string, file_id: string, structural_path: string, line: int, column: int, "
@@ -349,7 +349,7 @@ def _graph_events(spark, folder) -> DataFrame:
                  zero.alias("end_line"), zero.alias("end_column"), "name", blank.alias("value")).cast(node).alias("node"),
     ).select("element_type", "id", "x.op", "x.at", "node")
     edge_rows = edges.select(
-        F.lit("edge").alias("element_type"), "id", F.when(F.col("l_linenumber") == 3, "delete").otherwise("upsert").alias("op"), F.lit(1).alias("at"),
+        F.lit("edge").alias("element_type"), "id", F.when(F.col("l_linenumber") == 3, "delete").otherwise("upsert").alias("op"), F.lit(3).alias("at"),
         F.struct("id", "kind", "source_id", "target_id", "file_id", blank.alias("discriminator"), blank.alias("variable"),
                  F.lit(True).alias("resolved")).cast(edge).alias("edge"),
     )

@@ -2,11 +2,15 @@
 
 import os
 
+import pytest
+
 from arborflow.operators.snapshots import table_digest
 from arborflow.plans.incremental import incremental_run
 from arborflow.session import ship
 from arborflow.sources.files import read_sources
-from arborflow.sources.state import State, compact_state, empty_state, load_state, save_state
+from arborflow.sources import state as state_module
+from arborflow.sources.state import ConcurrentRun, State, clean_state, compact_state, empty_state, load_state, save_state
+from arborflow.sources.storage import write_version
 from test_incremental import files_of
 
 
@@ -47,3 +51,46 @@ def test_shipped_package_is_a_zip(spark):
     ship(spark)
     ship(spark)
     assert any(name.startswith("arborflow") and name.endswith(".zip") for name in map(os.path.basename, spark.sparkContext.listFiles))
+
+
+def _one_version(spark, version, name):
+    elements = spark.createDataFrame([("f", "node", name, version)], "file_id string, element_type string, element_id string, version int")
+    names = spark.createDataFrame([("f", "r", "h", "t", version)], "file_id string, repo_id string, content_hash string, updated_at string, version int")
+    return State(names, elements, version), elements
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    save_state(*_one_version(spark, 0, "first"), folder)
+    base = load_state(spark, folder)
+    assert base.version == 0
+    save_state(*_one_version(spark, 1, "winner"), folder)
+    with pytest.raises(ConcurrentRun):  # had started from version 0 too
+        save_state(*_one_version(spark, 1, "late"), folder)
+    # both got past the first look, and one made the commit file before the other
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(state_module, "committed", lambda *_: {0: "version=0"})
+        with pytest.raises(ConcurrentRun):
+            save_state(*_one_version(spark, 1, "later"), folder)
+    with pytest.raises(ConcurrentRun):
+        save_state(*_one_version(spark, 5, "gap"), folder)
+    assert [r.element_id for r in load_state(spark, folder).current_elements().collect()] == ["winner"]
+    # the tries that failed and the version no file names go, what is young stays
+    assert clean_state(spark, folder) == []
+    gone = clean_state(spark, folder, hours=0)
+    assert len([g for g in gone if g.startswith("elements/version=1/")]) == 1 and any(g.startswith("elements/version=0/") for g in gone)
+    assert [r.element_id for r in load_state(spark, folder).current_elements().collect()] == ["winner"]
+    save_state(*_one_version(spark, 2, "next"), folder)
+    assert load_state(spark, folder).version == 2
+
+
+def test_state_of_the_former_layout_is_read(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    state, elements = _one_version(spark, 0, "old")
+    write_version(elements, f"{folder}/elements", "version", 0)
+    write_version(state.file_state, f"{folder}/file_state", "version", 0)
+    assert [r.element_id for r in load_state(spark, folder).current_elements().collect()] == ["old"]
+    compact_state(spark, folder)
+    assert load_state(spark, folder).version == 1
+    assert set(clean_state(spark, folder, hours=0)) == {"elements/version=0", "file_state/version=0"}
+    assert [r.element_id for r in load_state(spark, folder).current_elements().collect()] == ["old"]
