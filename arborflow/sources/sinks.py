@@ -3,19 +3,75 @@
 from __future__ import annotations
 
 import json
+import uuid
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from arborflow.operators.contracts import REPORT, validate_contract
-from arborflow.sources.storage import write_text_once
+from arborflow.schemas import LOG
+from arborflow.sources.storage import AlreadyCommitted, commit_text, listed, read_text, remove, write_text_once
 
 
 def write_jsonl(records: DataFrame, folder: str) -> None:
-    """Append {"key", "value"} lines, one folder per topic."""
+    """Append {"key", "value"} lines, one folder per topic. Where a reader must not see half a run, `publish`."""
+    _lines(records).write.mode("append").partitionBy("topic").text(folder)
+
+
+def _lines(records: DataFrame) -> DataFrame:
     key = F.to_json(F.array("key"))
     line = F.concat(F.lit('{"key":'), F.substring(key, F.lit(2), F.length(key) - 2), F.lit(',"value":'), "value", F.lit("}"))
-    records.select("topic", line.alias("line")).write.mode("append").partitionBy("topic").text(folder)
+    return records.select("topic", line.alias("line"))
+
+
+def publish(records: DataFrame, folder: str) -> int:
+    """Publish (topic, key, value) records as one run: all of them or none; the run's number.
+
+    The lines go to a folder of their own, then a commit file names it. Readers take what commit files name, so
+    a run that dies in between leaves nothing visible. Runs that end at the same time get one number each.
+    """
+    spark, run = records.sparkSession, uuid.uuid4().hex
+    _lines(records).write.partitionBy("topic").text(f"{folder}/runs/run={run}")
+    while True:
+        number = max(_published(spark, folder), default=-1) + 1
+        try:
+            stamp = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+            commit_text(spark, f"{folder}/commits/run={number}", json.dumps({"run": run, "at": stamp}))
+            return number
+        except AlreadyCommitted:
+            continue
+
+
+def _published(spark: SparkSession, folder: str) -> dict[int, dict]:
+    names = [n for n, _ in listed(spark, f"{folder}/commits") if n.startswith("run=") and "." not in n]
+    return {int(n.partition("=")[2]): json.loads(read_text(spark, f"{folder}/commits/{n}")) for n in names}
+
+
+def read_published(spark: SparkSession, folder: str, after: int = -1) -> DataFrame:
+    """Records of all committed runs with a number above `after`, as LOG rows.
+
+    A run's records share its number as offset and its commit as time: a run sends a key once per topic. Rows
+    so read feed `parse_events`, `documents` and the graph fold like those of any other log.
+    """
+    runs = {n: c for n, c in _published(spark, folder).items() if n > after}
+    if not runs:
+        return spark.createDataFrame([], LOG)
+    known = spark.createDataFrame([(c["run"], n, c["at"]) for n, c in runs.items()], "run string, offset bigint, at string")  # one row a run
+    lines = spark.read.schema("value string, topic string").option("basePath", f"{folder}/runs").text([f"{folder}/runs/run={c['run']}" for c in runs.values()])
+    lines = lines.withColumn("run", F.regexp_extract("_metadata.file_path", "/run=([0-9a-f]+)/", 1))
+    return lines.join(F.broadcast(known), "run").select(
+        "topic", F.lit(0).alias("partition"), "offset", F.col("at").cast("timestamp").alias("timestamp"),
+        F.get_json_object("value", "$.key").alias("key"), F.get_json_object("value", "$.value").alias("value"))
+
+
+def clean_published(spark: SparkSession, folder: str, hours: float = 24.0) -> list[str]:
+    """Maintenance: remove runs that never committed, once nobody has touched them for `hours`."""
+    known = {f"run={c['run']}" for c in _published(spark, folder).values()}
+    gone = [n for n, age in listed(spark, f"{folder}/runs") if n not in known and age >= hours]
+    for name in gone:
+        remove(spark, f"{folder}/runs/{name}")
+    return gone
 
 
 def write_kafka(records: DataFrame, options: dict[str, str]) -> None:

@@ -8,6 +8,7 @@ from arborflow.operators.snapshots import table_digest
 from arborflow.plans.incremental import incremental_run
 from arborflow.session import ship
 from arborflow.sources.files import read_sources
+from arborflow.sources import sinks
 from arborflow.sources import state as state_module
 from arborflow.sources.state import ConcurrentRun, State, clean_state, compact_state, empty_state, load_state, save_state
 from arborflow.sources.storage import write_version
@@ -94,3 +95,16 @@ def test_state_of_the_former_layout_is_read(spark, tmp_path):
     assert load_state(spark, folder).version == 1
     assert set(clean_state(spark, folder, hours=0)) == {"elements/version=0", "file_state/version=0"}
     assert [r.element_id for r in load_state(spark, folder).current_elements().collect()] == ["old"]
+
+
+def test_published_runs_are_seen_whole_or_not_at_all(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    rows = spark.createDataFrame([("t", "k\"1", '{"a":1}'), ("u", "k2", '{"b":"x"}')], "topic string, key string, value string")
+    assert sinks.read_published(spark, folder).isEmpty()
+    assert sinks.publish(rows, folder) == 0 and sinks.publish(rows.where("topic = 'u'"), folder) == 1
+    rows.select("topic", "value").write.partitionBy("topic").text(f"{folder}/runs/run=0123abcd")  # ended before its commit
+    got = sorted((r.topic, r.offset, r.key, r.value) for r in sinks.read_published(spark, folder).collect())
+    assert got == [("t", 0, 'k"1', '{"a":1}'), ("u", 0, "k2", '{"b":"x"}'), ("u", 1, "k2", '{"b":"x"}')]
+    assert [r.offset for r in sinks.read_published(spark, folder, after=0).collect()] == [1]
+    assert sinks.clean_published(spark, folder) == [] and sinks.clean_published(spark, folder, hours=0) == ["run=0123abcd"]
+    assert sinks.read_published(spark, folder).count() == 3
