@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from arborflow.session import keep, ship
 
-__all__ = ["components", "keep", "mixed", "numbered", "table", "text_blocks"]
+__all__ = ["components", "keep", "mixed", "numbered", "ship", "table", "text_blocks"]
 
 #: Characters a numpy block holds about; a longer document is a block of its own.
 BLOCK_CHARS = 1 << 20

@@ -123,7 +123,7 @@ def edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     The edit replaces the last floor(n_chars / 3) code points by the first as many, or all, of the next document in
     descending order of doc_id (nulls last; equal ids by text hash; after the last the first). Null texts are empty. A row
-    that repeats another exactly is the same document and is returned once; a single document is its own next. An empty
+    that repeats another exactly is the same document, returned as often; a single document is its own next. An empty
     table gives an empty result. Other columns are not looked at.
 
     Only ids and lengths are sorted; texts are shuffled once by row key and only the needed heads travel to their readers.
@@ -132,25 +132,27 @@ def edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     rows = rows.select(F.xxhash64("doc_id", "text").alias("key"), F.hash("text", "doc_id").alias("check"), "doc_id", "text")
     # both readers of the texts ask for the same columns, so that they share one shuffle
     texts = rows.select("key", "check", "text").dropDuplicates(["key", "check"])
-    ids = rows.select("key", "check", "doc_id", F.length("text").alias("n_chars")).distinct()
+    ids = rows.groupBy("key", "check", "doc_id").agg(F.first(F.length("text")).alias("n_chars"), F.count("*").alias("copies"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("key"), F.col("check")]
     ids = keep(numbered(ids, order, "order"), "numbered")
     total = ids.count()
     following = ids.select((F.when(F.col("place") == 1, total).otherwise(F.col("place") - 1)).alias("place"), F.col("key").alias("next_key"), F.col("check").alias("next_check"))
     readers = ids.join(following, "place")
     heads = texts.withColumnsRenamed({"key": "next_key", "check": "next_check", "text": "next_text"}).join(
-        readers.select("key", "check", "doc_id", "place", "n_chars", "next_key", "next_check"), ["next_key", "next_check"]
+        readers.select("key", "check", "doc_id", "place", "copies", "n_chars", "next_key", "next_check"), ["next_key", "next_check"]
     )
     third = F.floor(F.col("n_chars") / 3).cast("int")
-    heads = heads.select("key", "check", "doc_id", "place", "n_chars", F.substring("next_text", F.lit(1), third).alias("head"))
+    heads = heads.select("key", "check", "doc_id", "place", "copies", "n_chars", F.substring("next_text", F.lit(1), third).alias("head"))
     both = texts.join(heads, ["key", "check"]).withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - third), F.col("head")))
     found = both.select(
-        "doc_id", "place", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "doc_id", "place", "copies", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         sketches(F.col("text")).alias("own"), sketches(F.col("edited")).alias("other"),
     )
     found = keep(found, "fingerprints")
     after = found.select((F.when(F.col("place") == 1, total).otherwise(F.col("place") - 1)).alias("place"), F.col("own").alias("following"))
-    return found.join(after, "place").select(
+    # a row for each of the copies that were one document so far
+    found = found.join(after, "place").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return found.select(
         "doc_id", "n_chars", "edited_sha256", written(F.col("own")).alias("fingerprint"), written(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"),
     )

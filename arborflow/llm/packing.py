@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborflow.llm.common import keep, text_blocks
+from arborflow.llm.common import keep, mixed, text_blocks
 
 WINDOW = 4096
 #: Lengths are seen in units of so many tokens; a document's last, shorter stretch of tokens is packed end to end.
@@ -20,17 +20,41 @@ UNIT = 64
 UNITS = WINDOW // UNIT
 #: A combination fills a window with so many pieces at most.
 DEPTH = 5
-#: Words whose ids a worker remembers; it starts anew beyond.
-MEMORY = 1_000_000
+#: Words, and bytes of words, that a worker remembers the ids of; it starts anew beyond. A word takes about 40 bytes.
+MEMORY, MEMORY_BYTES = 1 << 20, 1 << 24
+#: Bytes of text that are looked up at once; longer texts are cut between words.
+PIECE = 1 << 20
+#: Words that are encoded in one call.
+BATCH = 500
 #: Stands between words when many are encoded at once; words that hold it are encoded one by one.
 _MARK = "\x01"
 
 
+class _Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type) -> None:
+        self.held, self.size = np.zeros(1 << 12, kind), 0
+
+    def append(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.held):
+            self.held = np.concatenate([self.held[: self.size], np.zeros(max(len(self.held), len(values)), self.held.dtype)])
+        self.held[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of all members of runs that begin at `starts`."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that never joins anything across spaces and line feeds.
 
     Texts are cut there, each different word is encoded once, and ids are put together again: the same ids as encoding
-    the text as a whole, since the tokenizer drops white space and treats what stands between as if alone.
+    the text as a whole, since the tokenizer drops white space and treats what stands between as if alone. Known
+    words are found by their hash in a sorted array, for a block of text at once, and then compared byte by byte.
     """
 
     def __init__(self, path: str) -> None:
@@ -42,57 +66,102 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self._ids(_MARK)
         assert len(self.mark) == 1
+        rng = np.random.default_rng(17)
+        self.code = rng.integers(1, 1 << 63, 256, np.uint64)
+        base = int(rng.integers(1, 1 << 62)) * 2 + 1
+        self.base, self.inverse = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
+        self.power, self.back = np.ones(1, np.uint64), np.ones(1, np.uint64)
         self.clear()
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {"": 0}
-        self.starts, self.sizes, self.pool, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint16), 0
-
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if _MARK not in w]
-        odd = [w for w in words if _MARK in w]
-        ids, sizes = [], []
-        for first in range(0, len(plain), 5000):
-            some = plain[first : first + 5000]
-            flat = np.array(self._ids(f" {_MARK} ".join(some)), np.int64)
+        self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted, and the word of each
+        self.bytes, self.starts, self.sizes = _Grown(np.uint8), _Grown(np.int64), _Grown(np.int64)
+        self.pool, self.id_starts, self.id_sizes = _Grown(np.uint16), _Grown(np.int64), _Grown(np.int64)
+
+    def _hash(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Polynomial of each word's bytes: one running sum over the block, differences moved to a common power."""
+        while len(self.power) <= len(data):
+            n = len(self.power)
+            self.power = np.concatenate([self.power, self.power * (self.power[-1:] * self.base)])
+            self.back = np.concatenate([self.back, self.back * (self.back[-1:] * self.inverse)])
+            assert len(self.power) == 2 * n
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.code[data] * self.power[: len(data)], dtype=np.uint64)])
+        return mixed((total[starts + sizes] - total[starts]) * self.back[starts] + sizes.astype(np.uint64))
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        odd = np.array([_MARK.encode() in w for w in words], bool)
+        order = np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])
+        words, hashes, plain = [words[k] for k in order], hashes[order], int((~odd).sum())
+        ids, id_sizes = [], []
+        for first in range(0, plain, BATCH):
+            some = words[first : min(first + BATCH, plain)]
+            joined = f" {_MARK} ".encode().join(some).decode("utf-8")
+            flat = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
             cuts = np.flatnonzero(flat == self.mark[0])
             assert len(cuts) == len(some) - 1
-            sizes.append(np.diff(np.concatenate([[-1], cuts, [len(flat)]])) - 1)
+            id_sizes.append(np.diff(np.concatenate([[-1], cuts, [len(flat)]])) - 1)
             ids.append(flat[flat != self.mark[0]])
-        for word in odd:
-            flat = np.array(self._ids(word), np.int64)
-            sizes.append(np.array([len(flat)]))
-            ids.append(flat)
-        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
-        n = len(self.place)
-        while n + len(sizes) > len(self.starts):
-            self.starts, self.sizes = np.concatenate([self.starts, np.zeros_like(self.starts)]), np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.place.update(zip([*plain, *odd], range(n, n + len(sizes)), strict=True))
-        self.sizes[n : n + len(sizes)] = sizes
-        self.starts[n : n + len(sizes)] = self.used + np.cumsum(sizes) - sizes
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
+        for word in words[plain:]:
+            ids.append(np.array(self._ids(word.decode("utf-8")), np.int64))
+            id_sizes.append(np.array([len(ids[-1])]))
+        sizes, id_sizes = np.array([len(w) for w in words], np.int64), np.concatenate(id_sizes)
+        n = self.starts.size
+        self.starts.append(self.bytes.size + np.cumsum(sizes) - sizes)
+        self.sizes.append(sizes)
+        self.bytes.append(np.frombuffer(b"".join(words), np.uint8))
+        self.id_starts.append(self.pool.size + np.cumsum(id_sizes) - id_sizes)
+        self.id_sizes.append(id_sizes)
+        self.pool.append(np.concatenate(ids).astype(np.uint16))
+        by_hash = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[by_hash])
+        self.hashes, self.number = np.insert(self.hashes, at, hashes[by_hash]), np.insert(self.number, at, n + by_hash)
+
+    def _block(self, pieces: list[bytes]) -> list[np.ndarray]:
+        if self.starts.size > MEMORY or self.bytes.size > MEMORY_BYTES:
+            self.clear()
+        raw = b"\n".join(pieces)
+        data = np.frombuffer(raw, np.uint8)
+        cuts = np.concatenate([[-1], np.flatnonzero((data == 32) | (data == 10)), [len(data)]])
+        starts, sizes = cuts[:-1] + 1, np.diff(cuts) - 1
+        starts, sizes = starts[sizes > 0], sizes[sizes > 0]
+        hashes, first, which = np.unique(self._hash(data, starts, sizes), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.flatnonzero(at == len(self.hashes)) if not len(self.hashes) else np.flatnonzero(self.hashes[np.minimum(at, len(self.hashes) - 1)] != hashes)
+        if len(new):
+            self._learn(hashes[new], [raw[starts[k] : starts[k] + sizes[k]] for k in first[new]])
+        word = self.number[np.searchsorted(self.hashes, hashes)][which]
+        same = self.sizes.held[word] == sizes
+        own, known = _spread(starts[same], sizes[same]), _spread(self.starts.held[word[same]], sizes[same])
+        differ = np.flatnonzero(data[own] != self.bytes.held[known])
+        id_sizes = self.id_sizes.held[word]
+        flat = self.pool.held[_spread(self.id_starts.held[word], id_sizes)]
+        ends = np.cumsum([len(p) + 1 for p in pieces])
+        last = np.concatenate([[0], np.cumsum(id_sizes)])[np.searchsorted(starts, ends)]
+        out = np.split(flat, last[:-1])
+        # other words of the same hash: their texts are encoded as they are
+        for k in np.unique(np.searchsorted(ends, np.concatenate([own[differ], starts[~same]]), side="right")):
+            out[k] = np.array(self._ids(pieces[k].decode("utf-8")), np.uint16)
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.place) > MEMORY:
-            self.clear()
-        flat = [w for words in split for w in words]
-        at = list(map(self.place.get, flat))
-        if None in at:
-            self._learn(list(dict.fromkeys(w for w, p in zip(flat, at, strict=True) if p is None)))
-            at = list(map(self.place.get, flat))
-        at = np.array(at, np.int64)
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        source = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        last = np.cumsum([len(words) for words in split]) - 1
-        return np.split(self.pool[source], ends[last[:-1]]) if texts else []
+        pieces, owner = [], []
+        for k, text in enumerate(texts):
+            data = text.encode("utf-8")
+            while len(data) > PIECE and (cut := max(data.rfind(b" ", 0, PIECE), data.rfind(b"\n", 0, PIECE))) > 0:
+                pieces.append(data[:cut])
+                owner.append(k)
+                data = data[cut + 1 :]
+            pieces.append(data)
+            owner.append(k)
+        found: list[list[np.ndarray]] = [[] for _ in texts]
+        block = np.cumsum([len(p) for p in pieces]) // (2 * PIECE) if pieces else np.zeros(0, np.int64)
+        for some in np.split(np.arange(len(pieces)), np.flatnonzero(np.diff(block)) + 1) if pieces else []:
+            for k, ids in zip(some, self._block([pieces[k] for k in some]), strict=True):
+                found[owner[k]].append(ids)
+        return [parts[0] if len(parts) == 1 else np.concatenate(parts) for parts in found]
 
 
 @lru_cache(maxsize=1)
@@ -104,7 +173,7 @@ def _tokens(path: str, end: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seen, tails = TaskContext.get().partitionId(), np.zeros(UNITS, np.int64), 0
         words = tokenizer(path)
-        for frame in text_blocks(frames, "text"):
+        for frame in text_blocks(frames, "text", PIECE):
             ids = words.encode(frame.text.fillna("").tolist())
             size = np.array([len(x) + 1 for x in ids], np.int64)
             units, tail = size % WINDOW // UNIT, size % UNIT
@@ -197,9 +266,10 @@ def pack(docs: DataFrame, path: str, end: int = 2, doc_id: str = "doc_id", text:
     sequence can be short. Ranks and positions come from counts per partition and length, so no row is sorted or moved.
     Rows that repeat are packed as often. An empty table gives an empty result. Other columns are not looked at.
     """
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, part long, full long, units long, nth long, tail long, tail_at long, ids binary"
+    id_type = docs.schema[doc_id].dataType.simpleString()
+    # ids travel as text: pandas has no null integers and would round large ones
+    rows = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    schema = f"doc_id string, part long, full long, units long, nth long, tail long, tail_at long, ids binary"
     tokens = keep(rows.mapInPandas(_tokens(path, end), schema), "tokens")
     counted = tokens.groupBy("part", "units").agg(F.count("*").alias("n"), F.sum("full").alias("full"), F.sum("tail").alias("tails"))
     counted = keep(counted, "counts")
@@ -234,8 +304,8 @@ def pack(docs: DataFrame, path: str, end: int = 2, doc_id: str = "doc_id", text:
         "doc_id", "full", "units", "tail", "ids", (F.col("n_before") + F.col("nth")).alias("rank"),
         (F.col("tails_before") + F.col("tail_at")).alias("tail_at"), (F.col("full_before") + F.coalesce("full_at", F.lit(0))).alias("full_at"), full_total.alias("full_total"),
     )
-    out = f"doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return wanted.mapInPandas(cut, out)
+    out = "doc_id string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+    return wanted.mapInPandas(cut, out).withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 
 def _pieces(frame: pd.DataFrame, slots: np.ndarray, taken: np.ndarray, base: np.ndarray, rest: int, matched: int) -> pd.DataFrame:

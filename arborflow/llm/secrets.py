@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborflow.llm.common import text_blocks
+from arborflow.llm.common import ship, text_blocks
 
 #: Kinds in the order that breaks ties of their spans.
 KINDS = ("assign", "access", "hex")
@@ -409,5 +409,6 @@ def scan(docs: DataFrame, text: str = "text", spans: str = "secret_spans", clean
                 cuts.append(over)
             yield frame.drop(columns="text").assign(spans=found, clean=texts, cut=cuts)
 
+    ship(docs.sparkSession)
     out = rows.mapInPandas(run, schema)
     return out.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(kept.columns)), F.col("spans").alias(spans), F.col("clean").alias(clean), F.col("cut").alias(cut))

@@ -9,6 +9,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -331,12 +332,87 @@ def test_language(docs, empty, spark):
     odd = spark.createDataFrame([(1, "qqq www ppp lll mmm nnn ooo " * 5)], "doc_id long, text string")
     assert language.identify(odd, model).first().rejected
     assert {r.lang_pred for r in language.identify(docs, language.fit(empty)).collect()} == {"und"}
+    # a small language beside a large one of many grams, and labels whose texts have no letter
+    mixed = spark.createDataFrame([(k, prose(rng, 400), "large") for k in range(60)] + [(90 + k, "xyx zzy yxz", "small") for k in range(3)] + [(99, "12 34", "digits")], "doc_id long, text string, lang string")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(language, "MIN_SHARE", 1e-3)
+        cut = language.fit(mixed)
+    assert cut.langs == ["large", "small"] and len(cut.grams[3]) < 2000
+    got = {r.doc_id: r.lang_pred for r in language.identify(mixed, cut).collect()}
+    assert all(got[k] == ("large" if k < 60 else "small") for k in got if k != 99) and got[99] == "und"
     # probabilities after any context sum to at most one
     top = model.grams[1] >> 8
     for context in np.unique(top)[:20]:
         assert (np.exp(model.logs[1][top == context]).sum(axis=0) <= 1.0001).all()
 
 
+def plain_kneser_ney(texts, text):
+    """Cross-entropy per character by dictionaries, recursively; texts of lower-case letters and single spaces."""
+    def runs(t):
+        return "\n\n\n" + t + "\n"
+
+    seen = Counter(runs(t).replace(" ", "\n")[i : i + 4] for t in texts for i in range(len(t) + 1))
+    levels = [seen]
+    for _ in range(3):
+        levels.insert(0, Counter(g[1:] for g in levels[0]))
+
+    def p(gram):
+        if not gram:
+            return 1 / 256
+        level, context = levels[len(gram) - 1], gram[:-1]
+        total = sum(n for g, n in level.items() if g[:-1] == context)
+        if not total:
+            return p(gram[1:])
+        kinds = sum(g[:-1] == context for g in level)
+        return max(level[gram] - language.DISCOUNT, 0) / total + language.DISCOUNT * kinds / total * p(gram[1:])
+
+    whole = runs(text).replace(" ", "\n")
+    grams = [whole[i : i + 4] for i in range(len(text) + 1)]
+    return -sum(math.log(p(g)) for g in grams) / len(grams)
+
+
+def test_language_against_plain_kneser_ney(spark):
+    rng = random.Random(8)
+    texts = [prose(rng, 12, "abcd") for _ in range(6)]
+    model = language.fit(spark.createDataFrame([(t, "one") for t in texts], "text string, lang string"))
+    for text in [texts[0], prose(rng, 9, "abcd"), prose(rng, 9, "cdef"), "a"]:
+        assert abs(language.entropies(model, [text])[0][0, 0] - plain_kneser_ney(texts, text)) < 1e-4
+
+
+def test_pipeline_near_duplicates_by_row(spark):
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    texts = [prose(rng, 60) for _ in range(4)]
+    data = [(5, texts[0]), (None, texts[0]), (2, texts[0]), (7, texts[1]), (7, texts[2]), (7, texts[2]), (None, texts[3]), (None, None), (1, ""), (1, "")]
+    docs = spark.createDataFrame([(i, t, "l", "s", 1) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.neardup_stage(spark, docs, "").collect()
+    want = [(2, texts[0]), (7, texts[1]), (7, texts[2]), (None, texts[3]), (None, None), (1, ""), (1, "")]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_fingerprints_of_repeated_rows(spark):
+    rows = [(1, "a b c d"), (1, "a b c d"), (2, "x"), (None, None), (None, None), (None, None)]
+    got = fingerprints.edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_chars) for r in got) == [("1", 7), ("1", 7), ("2", 1), ("None", 0), ("None", 0), ("None", 0)]
+
+
+def test_word_tokenizer_against_whole_texts(rows):
+    words = packing.WordTokenizer(TOKENIZER)
+    texts = [t or "" for _, t, *_ in rows] + ["a\x01b \x01", "\x01", " lead", "trail \n", "a\tb\x0bc d"]
+    want = [words._ids(t) for t in texts]
+    assert [x.tolist() for x in words.encode(texts)] == want and words.encode([]) == []
+    with pytest.MonkeyPatch.context() as patch:
+        for name, value in (("PIECE", 9), ("MEMORY", 5), ("BATCH", 2)):
+            patch.setattr(packing, name, value)
+        assert [x.tolist() for x in words.encode(texts)] == want
+    # all words of one length have one hash
+    words.code[:] = words.power[:1] = words.back[:1] = 1
+    words.base, words.inverse, words.power, words.back = np.uint64(1), np.uint64(1), words.power[:1], words.back[:1]
+    words.clear()
+    assert [x.tolist() for x in words.encode(texts)] == want
+
+
 def test_pipeline_stages(spark, rows, tmp_path):
     import corpus_pipeline
 
