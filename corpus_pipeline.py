@@ -21,9 +21,16 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one of smallest id. Documents without words are not compared and stay."""
-    kept = neardup.link(docs).where("kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
+    """One document of each near-duplicate group stays: the one of smallest id, nulls last.
+
+    Rows are judged by a key of their own, so rows that repeat an id are documents each and a null id is one like any
+    other. Documents without words are not compared and stay.
+    """
+    rows = keep(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    groups = neardup.link(rows.select("row", "text"), doc_id="row").select(F.col("doc_id").alias("row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    kept = groups.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(first).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
