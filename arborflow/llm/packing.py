@@ -21,9 +21,9 @@ UNITS = WINDOW // UNIT
 #: A combination fills a window with so many pieces at most.
 DEPTH = 5
 #: Words, and bytes of words, that a worker remembers the ids of; it starts anew beyond. A word takes about 40 bytes.
-MEMORY, MEMORY_BYTES = 1 << 20, 1 << 24
+MEMORY, MEMORY_BYTES = 1 << 19, 1 << 23
 #: Bytes of text that are looked up at once; longer texts are cut between words.
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Words that are encoded in one call.
 BATCH = 500
 #: Stands between words when many are encoded at once; words that hold it are encoded one by one.
@@ -157,7 +157,7 @@ class WordTokenizer:
             pieces.append(data)
             owner.append(k)
         found: list[list[np.ndarray]] = [[] for _ in texts]
-        block = np.cumsum([len(p) for p in pieces]) // (2 * PIECE) if pieces else np.zeros(0, np.int64)
+        block = np.cumsum([len(p) for p in pieces]) // PIECE if pieces else np.zeros(0, np.int64)
         for some in np.split(np.arange(len(pieces)), np.flatnonzero(np.diff(block)) + 1) if pieces else []:
             for k, ids in zip(some, self._block([pieces[k] for k in some]), strict=True):
                 found[owner[k]].append(ids)
