@@ -21,7 +21,7 @@ UNITS = WINDOW // UNIT
 #: A combination fills a window with so many pieces at most.
 DEPTH = 5
 #: Words, and bytes of words, that a worker remembers the ids of; it starts anew beyond. A word takes about 40 bytes.
-MEMORY, MEMORY_BYTES = 1 << 20, 1 << 24
+MEMORY, MEMORY_BYTES = 1_000_000, 1 << 24
 #: Bytes of text that are looked up at once; longer texts are cut between words.
 PIECE = 1 << 19
 #: Words that are encoded in one call.
@@ -77,9 +77,9 @@ class WordTokenizer:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def clear(self) -> None:
-        self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted, and the word of each
-        self.bytes, self.starts, self.sizes = _Grown(np.uint8), _Grown(np.int64), _Grown(np.int64)
-        self.pool, self.id_starts, self.id_sizes = _Grown(np.uint16), _Grown(np.int64), _Grown(np.int64)
+        self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted, and the word of each
+        self.bytes, self.starts, self.sizes = _Grown(np.uint8), _Grown(np.int32), _Grown(np.int32)
+        self.pool, self.id_starts, self.id_sizes = _Grown(np.uint16), _Grown(np.int32), _Grown(np.int32)
 
     def _hash(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Polynomial of each word's bytes: one running sum over the block, differences moved to a common power."""
