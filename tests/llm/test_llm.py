@@ -314,11 +314,73 @@ def test_pages():
     assert [t for t, furniture, root in pages.read(html) if root and not furniture] == ["Head & tail", "One two three", "Four é"]
 
 
+def page_texts(spark, table):
+    frame = spark.createDataFrame(table, "page_id long, url string, html string, text string, host int")
+    return [(r.page_id, r.text, r.n_repeated) for r in pages.extract(frame).orderBy("page_id").collect()]
+
+
 def test_pages_without_mark_lose_what_repeats(spark):
     menu = "<div>start of a long line that all the pages of this host share word for word</div>"
-    table = [(k, "http://h.org/%d" % k, f"<body>{menu}<div>{k} is what this page says, {k * 7} things</div></body>") for k in range(3)] + [(3, None, None)]
-    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(table, "page_id long, url string, html string")).collect()}
-    assert got == {k: f"{k} is what this page says, {k * 7} things" for k in range(3)} | {3: ""}
+    table = [(k, "http://h.org/%d" % k, f"<body>{menu}<div>{k} is what this page says, {k * 7} things</div></body>", "x", 1) for k in range(3)]
+    table += [(3, None, None, None, None), (4, "http://copy.org/a", "<div>told twice on one host and not a word of it gone from either</div>", None, None)]
+    table += [(5, "http://copy.org/b", table[4][2], None, None), (5, "http://copy.org/b", table[4][2], None, None), (6, "HTTP://H.org:80/6", "", None, None)]
+    said = [(k, f"{k} is what this page says, {k * 7} things", 16) for k in range(3)]
+    told = "told twice on one host and not a word of it gone from either"
+    assert page_texts(spark, table) == said + [(3, "", 0), (4, told, 0), (5, told, 0), (5, told, 0), (6, "", 0)]
+    assert page_texts(spark, []) == []
+
+
+def test_pages_lose_repeated_blocks_inside_marked_content(spark):
+    advert = "<p>Our own neutral words that sell you something</p>"
+    table = [(k, f"https://a.org/{k}", f"<main><p>{prose(random.Random(k), 30)}</p>{advert}<p>tail {k}</p></main>", None, None) for k in range(3)]
+    # versions of a page agree for the most part: they stay whole
+    table += [(9 + k, f"https://b.org/{k}", f"<main><p>{prose(random.Random(77), 40)}</p><p>version {k}</p></main>", None, None) for k in range(2)]
+    # quoted on a few of many pages: no boilerplate
+    quote = "<p>a passage that some of the pages quote</p>"
+    table += [(20 + k, f"https://c.org/{k}", f"<article><p>{prose(random.Random(90 + k), 30)}</p>{quote if k < 4 else ''}</article>", None, None) for k in range(12)]
+    got = {k: (text, n) for k, text, n in page_texts(spark, table)}
+    for k in range(3):
+        assert got[k] == (prose(random.Random(k), 30) + f"\n\ntail {k}", 8)
+    for k in range(2):
+        assert got[9 + k] == (prose(random.Random(77), 40) + f"\n\nversion {k}", 0)
+    assert all(n == 0 and ("that some" in text) == (k < 24) for k, (text, n) in got.items() if k >= 20)
+
+
+def test_pages_names_are_whole():
+    assert pages.content('<div class="page no-sidebar"><article><p>a<p class="cookie-recipe">b<p class="site-notice">c</article></div>') == (["a", "b"], [True, True])
+    assert pages.content('<div class="widget"><article><p>a</article></div><p>b')[0] == ["a", "b"]
+    assert pages.content('<div class="related-posts"><article>teaser</article></div><article>a</article>')[0] == ["a"]
+    assert pages.content('<form><main>a<form>b</form></main></form>')[0] == ["a"]
+    assert pages.content('<aside><article>a</article></aside>')[0] == [] == pages.content(None)[0]
+
+
+def test_pages_against_all_substrings(spark):
+    """Runs outside marked content against a plain look at all substrings of all pages of the host."""
+    rng = random.Random(12)
+    common = [prose(rng, n).split() for n in (9, 14, 20, 40)]
+    streams = []
+    for k in range(12):
+        words = []
+        for _ in range(6):
+            words += prose(rng, rng.randint(1, 12)).split()
+            words += rng.choice(common) if rng.random() < 0.6 else []
+        streams.append(words)
+    table = [(k, "http://x.org", "<p>" + " ".join(w) + "</p>", None, None) for k, w in enumerate(streams)]
+    got = page_texts(spark, table)
+    for k, words in enumerate(streams):
+        gone = [False] * len(words)
+        for i in range(len(words) - pages.REPEAT + 1):
+            part = words[i : i + pages.REPEAT]
+            n = sum(any(o[j : j + pages.REPEAT] == part for j in range(len(o))) for o in streams)
+            if n > 1 and n >= pages.RUN_SHARE * len(streams):
+                gone[i : i + pages.REPEAT] = [True] * pages.REPEAT
+        keep, at = [], 0
+        for piece in re.findall(r"x+|\.+", "".join("x" if g else "." for g in gone)):
+            if piece[0] == "." or len(piece) < pages.LONG:
+                keep += words[at : at + len(piece)]
+            at += len(piece)
+        assert got[k] == (k, " ".join(keep), len(words) - len(keep))
+    assert any(n for _, _, n in got)
 
 
 def test_language(docs, empty, spark):
