@@ -97,6 +97,11 @@ def corpus_totals(spark: SparkSession, folder: str) -> DataFrame:
     return report.corpus_totals(graph.nodes, graph.edges, graph.warnings, files)
 
 
+def totals_by_kind(spark: SparkSession, folder: str) -> DataFrame:
+    graph = build_graph(load_sources(spark, folder))
+    return report.totals_by_kind(graph.nodes, graph.edges)
+
+
 def required_kinds(spark: SparkSession, folder: str) -> DataFrame:
     return report.required_kinds(build_graph(load_sources(spark, folder)).edges)
 
@@ -116,7 +121,8 @@ def event_build(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     discover_filter, discovery_report, ast_nodes, ast_edges, scope_nodes, parse_errors, cfg_edges, def_use, reaching_defs,
-    dfg_edges, external_nodes, call_resolve, warnings, kind_counts, corpus_totals, required_kinds, event_build,
+    dfg_edges, external_nodes, call_resolve, warnings, kind_counts, totals_by_kind, corpus_totals, required_kinds,
+    event_build,
 )}
 
 
@@ -221,7 +227,8 @@ SQL = {
 SELECT repo_id, fpath AS path, file_id,
   p_partkey % 7 NOT IN (0, 1, 2) AND p_partkey % 11 NOT IN (0, 1) AS included FROM py""",
     "discovery_report": f"""WITH {PY}
-SELECT repo_id, count(*) AS raw_python_files, count(*) FILTER (inc) AS processed_python_files,
+SELECT repo_id, 'https://github.com/' || repo_id || '.git' AS repo_url, '' AS commit_sha,
+  count(*) AS raw_python_files, count(*) FILTER (inc) AS processed_python_files,
   count(*) FILTER (NOT inc) AS excluded_python_files, CAST(coalesce(sum({_LINES}) FILTER (inc), 0) AS BIGINT) AS total_lines,
   count(*) FILTER (inc AND t <> 3) AS parseable_files,
   round(count(*) FILTER (inc AND t <> 3) / count(*) FILTER (inc), 4) AS parse_success_rate,
@@ -273,6 +280,9 @@ e AS (SELECT count(*) AS edges, count(DISTINCT id) AS distinct_edges FROM edges)
 SELECT (SELECT count(*) FROM part) AS files, nodes, distinct_nodes, edges, distinct_edges,
   2 * (SELECT count(*) FROM py WHERE t = 4) AS warnings,
   nodes = distinct_nodes AS all_node_ids_unique, edges = distinct_edges AS all_edge_ids_unique FROM n, e""",
+    "totals_by_kind": f"""{_HEAD}, {_ALL_NODES}, {_ALL_EDGES}
+SELECT 'node' AS element_type, kind, count(*) AS elements, count(DISTINCT file_id) AS files FROM nodes GROUP BY kind
+UNION ALL SELECT 'edge', kind, count(*), count(DISTINCT file_id) FROM edges GROUP BY kind""",
     "required_kinds": f"""{_HEAD}, {_ALL_EDGES}, have AS (SELECT file_id, list(DISTINCT kind) AS kinds FROM edges GROUP BY file_id)
 SELECT file_id, array_to_string(list_filter(['AST','CALL','CFG','DFG'], lambda x: NOT list_contains(kinds, x)), ',') AS missing,
   len(kinds) = 4 AS complete FROM have""",

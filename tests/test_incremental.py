@@ -104,5 +104,5 @@ def test_discovery_on_a_tree(spark, tmp_path, monkeypatch):
     assert sorted(r.path for r in in_scope(files).collect()) == ["_p/__init__.py", "app.py"]
     got = report.discovery_report(files).first().asDict()
     assert got == {
-        "repo_id": "fixture/sample", "raw_python_files": 4, "processed_python_files": 2, "excluded_python_files": 2,
+        "repo_id": "fixture/sample", "repo_url": "", "commit_sha": "", "raw_python_files": 4, "processed_python_files": 2, "excluded_python_files": 2,
         "total_lines": 3, "parseable_files": 2, "parse_success_rate": 1.0, "has_branch": True, "has_loop": True, "has_call": True}

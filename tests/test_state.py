@@ -3,11 +3,12 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from arborflow.operators.snapshots import table_digest
 from arborflow.plans.incremental import incremental_run
 from arborflow.session import ship
-from arborflow.sources.files import read_sources
+from arborflow.sources.files import OPEN_BYTES, read_sources
 from arborflow.sources import sinks
 from arborflow.sources import state as state_module
 from arborflow.sources.state import ConcurrentRun, State, clean_state, compact_state, empty_state, load_state, save_state
@@ -29,6 +30,29 @@ def test_links_are_not_followed(spark, tmp_path):
     assert [r.path for r in read_sources(spark, str(tmp_path), "o/r").collect()] == ["pkg/a.py"]
 
 
+def test_reading_tasks_follow_bytes(spark, tmp_path):
+    texts = {f"d{i % 5}/m{i}.py": "#" * (i * 700) + "\n" for i in range(40)} | {"_x/__init__.py": "", "big.py": "#" * 400_000}
+    for path, text in texts.items():
+        (tmp_path / path).parent.mkdir(exist_ok=True)
+        (tmp_path / path).write_text(text)
+    os.symlink(tmp_path / "big.py", tmp_path / "linked.py")
+    os.symlink(tmp_path / "none.py", tmp_path / "broken.py")
+    (tmp_path / "folder.py").mkdir()
+    want = texts | {"linked.py": texts["big.py"]}
+    for task_bytes in (200_000, 1 << 30):
+        files = read_sources(spark, f"file:{tmp_path}", "o/r", task_bytes=task_bytes)
+        rows = files.withColumn("task", F.spark_partition_id()).collect()
+        assert {r.path: bytes(r.content).decode() for r in rows} == want and len(rows) == len(want)
+        held = {}
+        for r in rows:
+            held.setdefault(r.task, []).append(len(r.content) + OPEN_BYTES)
+        # a task ends with the file that reaches its share
+        assert all(sum(sizes) - max(sizes) <= task_bytes for sizes in held.values())
+        assert len(held) <= sum(map(sum, held.values())) // task_bytes + 1
+    (tmp_path / "bare").mkdir()
+    assert read_sources(spark, str(tmp_path / "bare"), "o/r").count() == 0
+
+
 def test_compaction_reads_only_what_is_named(spark, tmp_path):
     folder = str(tmp_path / "state")
     for version in range(3):
