@@ -265,10 +265,13 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
     active = members.select("bucket", "band", "id").join(popular, "id").join(facts, "id").withColumn("component", F.col("id"))
     active = keep(active, "active")
     sets = edges = links = fine = None
+    # the whole texts travel once; rounds look among those that share a bucket with another
+    shared = light.join(members.select("id").distinct(), "id", "left_semi").select("doc_id")
+    shared_texts = keep(rows.join(shared, "doc_id", "left_semi"), "texts", "zstd")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         """A text for each wanted set, and perhaps others of the same id."""
-        return rows.join(light.join(wanted, "id", "left_semi"), "doc_id", "left_semi")
+        return shared_texts.join(light.join(wanted, "id", "left_semi"), "doc_id", "left_semi")
 
     centres_now = 1
     while True:
