@@ -85,9 +85,12 @@ def write_kafka(records: DataFrame, options: dict[str, str]) -> None:
         raise
 
 
-def collect_records(records: DataFrame) -> list[Row]:
-    """In-memory sink for tests and small runs."""
-    return records.select("topic", "key", "value").collect()
+def collect_records(records: DataFrame, limit: int = 100_000) -> list[Row]:
+    """In-memory sink for tests and small runs; raises ValueError, rather than fill the driver, beyond `limit` records."""
+    rows = records.select("topic", "key", "value").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} records: use a sink that stays distributed")
+    return rows
 
 
 def write_dead_letters(rejected: DataFrame, folder: str) -> None:

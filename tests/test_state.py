@@ -53,6 +53,13 @@ def test_reading_tasks_follow_bytes(spark, tmp_path):
     assert read_sources(spark, str(tmp_path / "bare"), "o/r").count() == 0
 
 
+def test_memory_sink_is_bounded(spark):
+    records = spark.range(5).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.lit("v").alias("value"))
+    assert sorted(r.key for r in sinks.collect_records(records, limit=5)) == list("01234")
+    with pytest.raises(ValueError):
+        sinks.collect_records(records, limit=4)
+
+
 def test_compaction_reads_only_what_is_named(spark, tmp_path):
     folder = str(tmp_path / "state")
     for version in range(3):
