@@ -10,7 +10,6 @@ from arborflow.operators.events import element_events, run_id
 from arborflow.operators.syntax import extract
 from arborflow.plans.corpus import TEMPLATES, load_sources
 from arborflow.plans.graph import build_graph
-from arborflow.session import keep
 from oracle.golden import EDGES, NODES
 
 STAMP = "2026-01-01T00:00:00.000000Z"
@@ -52,7 +51,7 @@ def def_use(spark: SparkSession, folder: str) -> DataFrame:
 
 def _reach(spark: SparkSession, folder: str):
     syntax = extract(load_sources(spark, folder))
-    flow = keep(control.flow_edges(syntax), "flow")
+    flow = syntax.keep(control.flow_edges(syntax), "flow")
     return syntax, *reach.reaching_definitions(syntax, flow)
 
 
@@ -114,6 +113,7 @@ def event_build(spark: SparkSession, folder: str) -> DataFrame:
         "file_id", "repo_id", F.sha2("content", 256).alias("content_hash"), F.lit(STAMP).alias("event_time"),
         run_id(F.lit("check"), F.col("file_id")).alias("run_id"),
     )
+    common = syntax.dealt(common)
     return element_events(tree.ast_nodes(syntax).join(common, "file_id"), "node", "upsert").unionByName(
         element_events(tree.ast_edges(syntax).select("id", "file_id").join(common, "file_id"), "edge", "delete")
     )
