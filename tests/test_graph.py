@@ -7,7 +7,7 @@ from programs import program
 from pyspark.sql import functions as F
 
 from arborflow.functions.ids import file_id
-from arborflow.operators import control
+from arborflow.operators import calls, control, report
 from arborflow.operators.syntax import extract
 from arborflow.plans.graph import build_graph
 
@@ -81,3 +81,25 @@ def test_deep_source_is_processed(spark):
     graph = build_graph(as_files(spark, {"deep.py": text, "deeper.py": "x = " + "(" * 300 + "a" + ")" * 300 + "\n"}))
     assert graph.nodes.where("ast_type = 'BinOp'").count() == 1499
     assert [r.exception_type for r in graph.errors.collect()] == ["SyntaxError"]
+
+
+def test_tables_of_a_graph_move_no_rows(spark):
+    files = as_files(spark, {f"f{k}.py": "def f(a):\n    while a:\n        a = a - 1\n    return a\n" for k in range(3)})
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        syntax = extract(files)
+        flow = syntax.keep(control.flow_edges(syntax), "flow")
+        counts = control.cfg_edges(flow).unionByName(calls.call_edges(calls.resolve_calls(syntax))).groupBy("file_id").count()
+        plans = [d._jdf.queryExecution().executedPlan().toString() for d in (control.flow_edges(syntax), counts)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert [p.count("Exchange") for p in plans] == [0, 0]
+    assert "id" not in syntax.parsed.columns and {r["count"] for r in counts.collect()} == {7}
+
+
+def test_totals_tell_ids_apart_that_differ_in_case(spark):
+    ids = ["ab" * 32, "AB" * 32, "ab" * 32, None, "x"]
+    nodes = spark.createDataFrame([(i,) for i in ids], "id string")
+    got = report.corpus_totals(nodes, nodes.limit(0), nodes.limit(0), nodes).first()
+    assert (got.nodes, got.distinct_nodes, got.edges, got.distinct_edges) == (5, 3, 0, 0)
