@@ -22,12 +22,10 @@ MIN_SHARE = 2e-6
 HELD_GRAMS = 1 << 20
 #: Absolute discount of every order.
 DISCOUNT = 0.75
-#: Rejection: cross-entropy above a language's mean by so many standard deviations of its calibration documents.
+#: Rejection: cross-entropy above a language's mean by so many standard deviations of the documents it is learnt from.
 REJECT_SIGMAS = 8.0
-#: Least deviation counted with: calibration texts may be few or alike, and mixed or noisy prose is still prose.
+#: Least deviation counted with: its texts may be few or alike, and mixed or noisy prose is still prose.
 LEAST_DEVIATION = 0.2
-#: About so many labelled documents of a language fix the mean and deviation.
-CALIBRATION_DOCS = 500
 #: Documents with fewer letters are never rejected for their cross-entropy: too little is known.
 MIN_LETTERS = 30
 UNDETERMINED = "und"
@@ -241,7 +239,7 @@ def _label(model: Model, texts: pd.Series) -> pd.DataFrame:
 
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Count every row of `train` with text and language, and fix the rejection levels on a bounded sample of it.
+    """Count every row of `train` with text and language, and fix the rejection levels on every one of them.
 
     Rows with null text or language teach nothing. Without any such row the model knows no language.
     """
@@ -255,17 +253,15 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         (x.lang.map(of).to_numpy(np.int64), x.gram.to_numpy(np.int64).astype(np.uint32), x.n.to_numpy(np.float64), x.total.to_numpy(np.float64)) for x in levels])
     if not langs:
         return model
-    # about CALIBRATION_DOCS texts of each language, chosen by hash where they are: no text moves
-    share = rows.groupBy("lang").agg((F.lit(float(CALIBRATION_DOCS)) / F.count("*")).alias("share"))  # one row a language
-    sample = rows.where(F.col("lang").isin(langs)).join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
 
     def calibrate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in text_blocks(frames, "text"):
-            cross, letters = entropies(model, frame.text.tolist())
+            cross, letters = entropies(held.value, frame.text.tolist())
             own = cross[np.arange(len(frame)), frame.lang.map(of).to_numpy(np.int64)]
             yield pd.DataFrame({"lang": frame.lang, "e": own})[letters >= MIN_LETTERS]
 
-    own = sample.select("lang", "text").mapInPandas(calibrate, "lang string, e double")
+    held = train.sparkSession.sparkContext.broadcast(model)
+    own = rows.select("lang", "text").mapInPandas(calibrate, "lang string, e double")
     found = {r.lang: r for r in own.groupBy("lang").agg(F.avg("e").alias("m"), F.stddev("e").alias("s")).collect()}
     model.mean = np.array([found[x].m if x in found else np.inf for x in langs])
     model.deviation = np.array([(found[x].s or 0.0) if x in found else 0.0 for x in langs])

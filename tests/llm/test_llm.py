@@ -488,3 +488,11 @@ def test_pipeline_stages(spark, rows, tmp_path):
         seen.append((name, docs.count(), docs.columns))
     assert [s[2] for s in seen[:4]] == [corpus_pipeline.COLUMNS] * 4
     assert seen[0][1] == len(rows) - 3 and seen[1][1] < seen[0][1] and seen[2][1] == seen[1][1]
+
+
+def test_language_levels_come_from_every_text(spark):
+    """All documents of a language fix its mean and deviation, however many there are."""
+    texts = ["the quick brown fox jumps over the lazy dog again and again " * (1 + k % 7) + "zqx" * (k % 11) for k in range(1500)]
+    model = language.fit(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"))
+    own = language.entropies(model, texts)[0][:, 0]
+    assert abs(model.mean[0] - own.mean()) < 1e-9
