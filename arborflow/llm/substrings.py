@@ -108,7 +108,10 @@ def _least_of(anchor: np.ndarray, identity: np.ndarray, doc: np.ndarray) -> tupl
     return order, d == least
 
 
-_REPLY = "chunk long, bucket int, kind int, payload binary"
+_SENT = "chunk long, bucket int, kind int, payload binary"
+#: Answers and requests of a bucket are a row a run: messages of each bucket to each chunk would grow with the square of the input.
+_REPLY = "chunk long, bucket int, kind int, row int, first int, count int, payload binary"
+_RUN = ["row", "first", "count"]
 
 
 def _anchors(buckets: int):
@@ -157,7 +160,7 @@ def _anchors(buckets: int):
 
 
 def _answers(chunk: np.ndarray, row: np.ndarray, first: np.ndarray, count: np.ndarray, kind: int = 0, bucket: int = 0) -> list[tuple]:
-    """One message for each chunk: starts that are covered, or runs whose bytes are wanted."""
+    """One message for each chunk: starts that are covered."""
     by = np.lexsort((first, row, chunk))
     chunk, row, first, count = chunk[by], row[by], first[by], count[by]
     out = []
@@ -166,13 +169,20 @@ def _answers(chunk: np.ndarray, row: np.ndarray, first: np.ndarray, count: np.nd
     return out
 
 
+def _replies(chunk: np.ndarray, row: np.ndarray, first: np.ndarray, count: np.ndarray, kind: int = 0, bucket: int = 0) -> pd.DataFrame:
+    """Starts that are covered, or runs whose bytes are wanted, by chunk."""
+    by = np.lexsort((first, row, chunk))
+    runs = {c: x[by].astype(np.int32) for c, x in zip(_RUN, (row, first, count), strict=True)}
+    return pd.DataFrame({"chunk": chunk[by], "bucket": np.int32(bucket), "kind": np.int32(kind), **runs, "payload": None})
+
+
 def _compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     """Runs that meet in a bucket: equal ones are answered; ones that share only the anchor have their bytes asked for.
 
     Answers that were found before travel through the same shuffle.
     """
     parts = []
-    ready = frame[frame.kind == 0]
+    ready = frame[frame.kind == 0].assign(row=0, first=0, count=0)
     if len(ready) == len(frame):
         return ready
     for payload in frame.payload[frame.kind == 1]:
@@ -181,7 +191,7 @@ def _compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         parts.append((anchor, identity, doc[at], chunk[at], row[at].astype(np.int64), first.astype(np.int64), count.astype(np.int64)))
     anchor, identity, doc, chunk, row, first, count = (np.concatenate(x) for x in zip(*parts, strict=True))
     order, least = _least_of(anchor, identity, doc)
-    out = _answers(*(x[order[~least]] for x in (chunk, row, first, count)))
+    out = [ready, _replies(*(x[order[~least]] for x in (chunk, row, first, count)))]
     a, i, d = anchor[order], identity[order], doc[order]
     new = np.concatenate([[True], a[1:] != a[:-1]])
     group = np.cumsum(new) - 1
@@ -189,29 +199,56 @@ def _compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     docs_differ = np.minimum.reduceat(d, starts) != np.maximum.reduceat(d, starts)
     kinds_differ = np.minimum.reduceat(i, starts) != np.maximum.reduceat(i, starts)
     wanted = least & (docs_differ & kinds_differ)[group]
-    out += _answers(*(x[order[wanted]] for x in (chunk, row, first, count)), kind=2, bucket=key[0])
-    return pd.concat([ready, pd.DataFrame(out, columns=["chunk", "bucket", "kind", "payload"])])
+    out.append(_replies(*(x[order[wanted]] for x in (chunk, row, first, count)), kind=2, bucket=key[0]))
+    return pd.concat([x for x in out if len(x)] or [ready])[["chunk", "bucket", "kind", *_RUN, "payload"]]
+
+
+_EXCERPT = "bucket int, chunk long, row int, first int, count int, doc_id long, text binary"
 
 
 def _excerpts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The bytes of the runs that buckets asked for."""
     for frame in frames:
-        out = []
-        for chunk, ids, sizes, data, asked in zip(frame.chunk, frame.ids, frame.sizes, frame.data, frame.asked, strict=True):
-            texts, doc_ids = _texts(data, np.asarray(sizes)), _ids(ids)[0]
-            for message in asked:
-                row, first, count = _spread(message["payload"], np.int32, np.int32, np.int32)
-                parts = [texts[r][f : f + c + LEAST - 1] for r, f, c in zip(row, first, count, strict=True)]
-                payload = _squeeze(np.array([chunk]), row, first, count, doc_ids[row], np.concatenate(parts))
-                out.append((message["bucket"], payload))
-        yield pd.DataFrame(out, columns=["bucket", "payload"])
+        for chunk, ids, sizes, data, *asked in zip(*(frame[c] for c in ("chunk", "ids", "sizes", "data", "bucket", *_RUN)), strict=True):
+            sizes = np.asarray(sizes, np.int64)
+            base, doc_ids = np.cumsum(sizes) - sizes, _ids(ids)[0]
+            bucket, row, first, count = (np.asarray(x, np.int32) for x in asked)
+            whole = zstandard.ZstdDecompressor().decompress(data)
+            start = base[row] + first
+            text = [whole[s:e] for s, e in zip(start.tolist(), (start + count + LEAST - 1).tolist(), strict=True)]
+            yield pd.DataFrame({"bucket": bucket, "chunk": chunk, "row": row, "first": first, "count": count, "doc_id": doc_ids[row], "text": text})
 
 
-def suffix_array(text: np.ndarray, depth: int = LEAST) -> np.ndarray:
-    """Starts of all suffixes of a byte array (0 ends a part), sorted by their first `depth` bytes at least.
+def _sorted(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes sorted by their first `depth` bytes: by 8 bytes, and of those that agree with a neighbour by their next 8, and so on."""
+    padded = np.concatenate([text, np.zeros(depth + 8, np.uint8)])
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    order = order.copy()
+    # places of `order` that are still tied, and the number of the tie that each is in
+    tied, tie = np.arange(len(order)), np.zeros(len(order), np.int64)
+    for k in range(0, depth, 8):
+        own = order[tied]
+        value = np.ascontiguousarray(words[own + k]).view(">u8").ravel().astype(np.uint64)
+        by = np.lexsort((value, tie)) if k else np.argsort(value, kind="stable")
+        order[tied] = own[by]
+        value, tie = value[by], tie[by]
+        same = (value[1:] == value[:-1]) & (tie[1:] == tie[:-1])
+        alike = np.zeros(len(tied), bool)
+        alike[1:] = same
+        group = np.cumsum(~alike)
+        alike[:-1] |= same
+        tied, tie = tied[alike], group[alike]
+        if not len(tied):
+            break
+    return order
+
+
+def suffix_array(text: np.ndarray, depth: int = LEAST, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Starts of the suffixes of a byte array (0 ends a part), of all or of those in the mask `wanted`, sorted by their first `depth` bytes at least.
 
     Two stages: suffixes smaller than their successors are sorted directly, by their first bytes; each other one is its
-    first byte before a smaller suffix, so that one scan puts them at the heads of their buckets in order.
+    first byte before a smaller suffix. First bytes are taken in rising order: those before suffixes of smaller first bytes come
+    in the order of these, then those before one of these of the same byte, and so on, then the directly sorted ones.
     """
     n = len(text)
     if not n:
@@ -223,52 +260,46 @@ def suffix_array(text: np.ndarray, depth: int = LEAST) -> np.ndarray:
     rises = np.zeros(n, bool)
     known = where < len(change)
     rises[known] = text[change[where[known]]] < after[change[where[known]]]
-    direct = np.flatnonzero(rises)
-    padded = np.concatenate([text, np.zeros(depth + 8, np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    keys = [np.ascontiguousarray(words[direct + k]).view(">u8").ravel() for k in range(0, depth, 8)]
-    direct = direct[np.lexsort(keys[::-1])]
-    counts = np.bincount(text, minlength=256)
-    ends = np.cumsum(counts)
-    fall = np.bincount(text[~rises], minlength=256)
-    out = np.full(n, -1, np.int64)
-    heads = (ends - counts).tolist()
-    # within a first byte the induced suffixes come first, then the directly sorted ones
-    base = ends - counts + fall
-    first = text[direct]
-    out[base[first] + np.arange(len(direct)) - (np.cumsum(np.bincount(first, minlength=256)) - np.bincount(first, minlength=256))[first]] = direct
-    result, letters, falling = out.tolist(), text.tolist(), (~rises).tolist()
-    # the last suffix is larger than the empty one that follows it
-    result_head = letters[-1]
-    if falling[-1]:
-        result[heads[result_head]] = n - 1
-        heads[result_head] += 1
-    for at in range(n):
-        before = result[at] - 1
-        if before >= 0 and falling[before]:
-            letter = letters[before]
-            result[heads[letter]] = before
-            heads[letter] += 1
-    return np.array(result, np.int64)
+    falls, needed = ~rises, np.ones(n, bool)
+    if wanted is not None:  # and what these follow from: the next ones up to a directly sorted one
+        seen = np.concatenate([[0], np.cumsum(wanted)])
+        start = np.concatenate([[0], np.maximum.accumulate(np.where(rises, np.arange(1, n + 1), 0))])[:-1]
+        needed = wanted | (seen[:-1] > seen[start])
+        falls &= needed
+    direct = _sorted(text, np.flatnonzero(rises & needed), depth)
+    first = np.searchsorted(text[direct], np.arange(257))
+    heads: list[list[np.ndarray]] = [[] for _ in range(256)]
+    if falls[-1]:  # the last suffix is larger than the empty one that follows it
+        heads[text[-1]].append(np.array([n - 1]))
+    out = []
+    for letter in np.unique(text).tolist():
+        level = np.concatenate(heads[letter]) if heads[letter] else np.zeros(0, np.int64)
+        parts = []
+        while len(level):
+            parts.append(level)
+            level = level[level > 0] - 1
+            level = level[falls[level] & (text[level] == letter)]
+        own = np.concatenate([*parts, direct[first[letter] : first[letter + 1]]])
+        out.append(own)
+        before = own[own > 0] - 1
+        before = before[falls[before] & (text[before] > letter)]
+        before = before[np.argsort(text[before], kind="stable")]
+        for some in np.split(before, np.flatnonzero(np.diff(text[before])) + 1) if len(before) else []:
+            heads[text[some[0]]].append(some)
+    found = np.concatenate(out)
+    return found if wanted is None else found[wanted[found]]
 
 
 def _resolve(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     """Which strings of the runs of a bucket a smaller document has too: neighbours in their suffix array with a long common prefix."""
-    chunks, rows, firsts, counts, docs, texts = [], [], [], [], [], []
-    for payload in frame.payload:
-        chunk, row, first, count, doc, text = _spread(payload, np.int64, np.int32, np.int32, np.int32, np.int64, np.uint8)
-        chunks.append(np.full(len(row), chunk[0]))
-        for held, x in zip((rows, firsts, counts, docs, texts), (row, first, count, doc, text), strict=True):
-            held.append(x)
-    chunk, row, first, count, doc = (np.concatenate(x).astype(np.int64) for x in (chunks, rows, firsts, counts, docs))
+    chunk, row, first, count, doc = (frame[c].to_numpy(np.int64) for c in ("chunk", *_RUN, "doc_id"))
     width = count + LEAST
     ends = np.cumsum(width)
     owner = np.repeat(np.arange(len(width)), width)
     nth = np.arange(len(owner)) - (ends - width)[owner]
     text = np.zeros(len(owner), np.uint8)
-    text[nth < width[owner] - 1] = np.concatenate(texts) + np.uint8(1)  # UTF-8 has no byte 255; 0 parts the runs
-    order = suffix_array(text)
-    order = order[nth[order] < count[owner[order]]]
+    text[nth < width[owner] - 1] = np.frombuffer(b"".join(frame.text), np.uint8) + np.uint8(1)  # UTF-8 has no byte 255; 0 parts the runs
+    order = suffix_array(text, wanted=nth < count[owner])
     windows = np.lib.stride_tricks.sliding_window_view(text, LEAST)
     same = np.zeros(len(order), bool)
     for at in range(1, len(order), 1 << 16):
@@ -278,24 +309,25 @@ def _resolve(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     owners = doc[owner[order]]
     least = np.minimum.reduceat(owners, starts)[np.cumsum(~same) - 1] if len(order) else owners
     covered = np.sort(order[owners > least])
-    if not len(covered):
-        return pd.DataFrame([], columns=["chunk", "bucket", "kind", "payload"])
-    new = np.concatenate([[True], (np.diff(covered) != 1) | (owner[covered[1:]] != owner[covered[:-1]])])
+    new = np.ones(len(covered), bool)
+    new[1:] = (np.diff(covered) != 1) | (owner[covered[1:]] != owner[covered[:-1]])
     heads = covered[new]
     lengths = np.diff(np.concatenate([np.flatnonzero(new), [len(covered)]]))
     of = owner[heads]
-    return pd.DataFrame(_answers(chunk[of], row[of], first[of] + nth[heads], lengths), columns=["chunk", "bucket", "kind", "payload"])
+    return _replies(chunk[of], row[of], first[of] + nth[heads], lengths)[["chunk", *_RUN]]
 
 
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for ids, sizes, data, told in zip(frame.ids, frame.sizes, frame.data, frame.told, strict=True):
+        for ids, sizes, data, told, *runs in zip(*(frame[c] for c in ("ids", "sizes", "data", "told", *_RUN)), strict=True):
             sizes = np.asarray(sizes, np.int64)
             texts = _texts(data, sizes)
             steps = np.zeros(int((sizes + 1).sum()), np.int32)
             base = np.cumsum(sizes + 1) - sizes - 1
-            for message in told if told is not None else []:
-                row, first, count = _spread(message, np.int32, np.int32, np.int32)
+            messages = [_spread(message, np.int32, np.int32, np.int32) for message in told] if told is not None else []
+            if runs[0] is not None:
+                messages.append([np.asarray(x, np.int32) for x in runs])
+            for row, first, count in messages:
                 start = base[row] + first
                 np.add.at(steps, start, 1)
                 np.add.at(steps, start + count + LEAST - 1, -1)
@@ -324,12 +356,14 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     chunks = keep(rows.mapInPandas(_chunks, "chunk long, ids array<long>, sizes array<int>, data binary"), "chunks")
     total = chunks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")).first().n or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
-    sent = chunks.select("chunk", "ids", "sizes", "data").mapInPandas(_anchors(buckets), _REPLY)
-    met = keep(sent.groupBy("bucket").applyInPandas(_compare, _REPLY), "met")
-    message = F.struct("bucket", "payload")
-    asked = met.where("kind = 2").groupBy("chunk").agg(F.collect_list(message).alias("asked"))
-    excerpts = chunks.join(asked, "chunk").select("chunk", "ids", "sizes", "data", "asked").mapInPandas(_excerpts, "bucket int, payload binary")
-    resolved = keep(excerpts.groupBy("bucket").applyInPandas(_resolve, _REPLY), "resolved")
-    told = met.where("kind = 0").union(resolved).groupBy("chunk").agg(F.collect_list("payload").alias("told"))
-    out = chunks.join(told, "chunk", "left").select("ids", "sizes", "data", "told")
+    sent = chunks.select("chunk", "ids", "sizes", "data").mapInPandas(_anchors(buckets), _SENT)
+    met = keep(sent.groupBy("bucket").applyInPandas(_compare, _REPLY), "met", "zstd")
+    asked = met.where("kind = 2").groupBy("chunk").agg(F.collect_list(F.struct("bucket", *_RUN)).alias("asked"))
+    asked = chunks.join(asked, "chunk").select("chunk", "ids", "sizes", "data", "asked.bucket", *(f"asked.{c}" for c in _RUN))
+    excerpts = asked.mapInPandas(_excerpts, _EXCERPT)
+    resolved = keep(excerpts.groupBy("bucket").applyInPandas(_resolve, "chunk long, row int, first int, count int"), "resolved", "zstd")
+    answers = met.where("kind = 0").select("chunk", *_RUN, "payload").unionByName(resolved, allowMissingColumns=True)
+    own = F.when(F.col("payload").isNull(), F.struct(*_RUN))
+    told = answers.groupBy("chunk").agg(F.collect_list("payload").alias("told"), F.collect_list(own).alias("own"))
+    out = chunks.join(told, "chunk", "left").select("ids", "sizes", "data", "told", *(f"own.{c}" for c in _RUN))
     return out.mapInPandas(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

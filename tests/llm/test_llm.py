@@ -114,6 +114,25 @@ def test_two_stage_suffix_array():
         assert got.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
 
 
+def test_suffix_array_of_some_suffixes():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 50, 400):
+        text = np.append(rng.integers(0, 3, n), 0).astype(np.uint8)
+        wanted = rng.random(len(text)) < 0.3
+        data = text.tobytes()
+        got = substrings.suffix_array(text, depth=500, wanted=wanted).tolist()
+        assert sorted(got) == np.flatnonzero(wanted).tolist()
+        # what ends is equal to what goes on with zeros
+        assert [data[i:].rstrip(b"\0") for i in got] == sorted(data[i:].rstrip(b"\0") for i in got)
+
+
+def test_substrings_ask_and_answer_by_run(spark):
+    """Rows between buckets and chunks follow the runs, not buckets times chunks."""
+    run = np.arange(4)
+    got = substrings._replies(np.array([7, 7, 3, 7]), run, run, run + 1, kind=2, bucket=5)
+    assert got.chunk.tolist() == [3, 7, 7, 7] and got.row.tolist() == [2, 0, 1, 3] and set(got.bucket) == {5} and set(got.kind) == {2}
+
+
 def test_passages_cover_shared_ones(docs, empty, rows):
     found = passages.near_passages(docs).collect()
     words = {r[0]: re.findall(r"[^\x20\x09-\x0D]+", r[1] or "") for r in rows}
