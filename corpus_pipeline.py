@@ -65,5 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over `documents`; each is written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        docs = keep(stage(spark, docs, sf_dir), name.replace(" ", "_"), "zstd")
     return docs
