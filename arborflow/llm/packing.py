@@ -26,6 +26,8 @@ MEMORY, MEMORY_BYTES = 1_000_000, 1 << 24
 PIECE = 1 << 19
 #: Words that are encoded in one call.
 BATCH = 500
+#: Rows (one per task and length) up to which counts travel to the pieces, and not the pieces to the counts.
+SMALL_COUNTS = 1_000_000
 #: Stands between words when many are encoded at once; words that hold it are encoded one by one.
 _MARK = "\x01"
 
@@ -171,21 +173,23 @@ def tokenizer(path: str) -> WordTokenizer:
 
 def _tokens(path: str, end: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, seen, tails = TaskContext.get().partitionId(), np.zeros(UNITS, np.int64), 0
+        part, seen, seen_full, tails = TaskContext.get().partitionId(), np.zeros(UNITS, np.int64), np.zeros(UNITS, np.int64), 0
         words = tokenizer(path)
         for frame in text_blocks(frames, "text", PIECE):
             ids = words.encode(frame.text.fillna("").tolist())
             size = np.array([len(x) + 1 for x in ids], np.int64)
-            units, tail = size % WINDOW // UNIT, size % UNIT
-            nth = np.empty(len(ids), np.int64)
+            full, units, tail = size // WINDOW, size % WINDOW // UNIT, size % UNIT
+            nth, full_at = np.empty(len(ids), np.int64), np.empty(len(ids), np.int64)
             for unit in np.unique(units):
                 rows = np.flatnonzero(units == unit)
                 nth[rows] = seen[unit] + np.arange(len(rows))
                 seen[unit] += len(rows)
+                full_at[rows] = seen_full[unit] + np.cumsum(full[rows]) - full[rows]
+                seen_full[unit] += full[rows].sum()
             tail_at = tails + np.cumsum(tail) - tail
             tails += int(tail.sum())
             yield pd.DataFrame({
-                "doc_id": frame.doc_id, "part": part, "full": size // WINDOW, "units": units, "nth": nth, "tail": tail, "tail_at": tail_at,
+                "doc_id": frame.doc_id, "part": part, "full": full, "full_at": full_at, "units": units, "nth": nth, "tail": tail, "tail_at": tail_at,
                 "ids": [np.append(x, np.uint16(end)).astype("<u2").tobytes() for x in ids],
             })
 
@@ -263,13 +267,14 @@ def pack(docs: DataFrame, path: str, end: int = 2, doc_id: str = "doc_id", text:
     sequences of their own. What is left is cut into a piece of whole units and a tail below a unit. Pieces take the slots
     of combinations that fill a window, chosen by non-negative least squares against the histogram of lengths; pieces
     without a slot and all tails follow each other end to end and are cut where a window ends, so that only the very last
-    sequence can be short. Ranks and positions come from counts per partition and length, so no row is sorted or moved.
+    sequence can be short. Ranks and positions come from counts per task and length, which are broadcast up to SMALL_COUNTS
+    rows, so no row is sorted or moved.
     Rows that repeat are packed as often. An empty table gives an empty result. Other columns are not looked at.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
     # ids travel as text: pandas has no null integers and would round large ones
     rows = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    schema = f"doc_id string, part long, full long, units long, nth long, tail long, tail_at long, ids binary"
+    schema = "doc_id string, part long, full long, full_at long, units long, nth long, tail long, tail_at long, ids binary"
     tokens = keep(rows.mapInPandas(_tokens(path, end), schema), "tokens")
     counted = tokens.groupBy("part", "units").agg(F.count("*").alias("n"), F.sum("full").alias("full"), F.sum("tail").alias("tails"))
     counted = keep(counted, "counts")
@@ -288,11 +293,11 @@ def pack(docs: DataFrame, path: str, end: int = 2, doc_id: str = "doc_id", text:
     per_part = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = counted.groupBy("part").agg(F.sum("full").alias("full"), F.sum("tails").alias("tails"))  # a row per task
     totals = totals.select("part", *(F.coalesce(F.sum(c).over(per_part), F.lit(0)).alias(f"{c}_before") for c in ("full", "tails")))
-    before = counted.select("part", "units", F.coalesce(F.sum("n").over(per_length), F.lit(0)).alias("n_before")).join(totals, "part")
-    placed = tokens.join(before, ["part", "units"])
-    fulls = Window.partitionBy("part").orderBy("units", "nth").rowsBetween(Window.unboundedPreceding, -1)
-    longs = tokens.where("full > 0").select("part", "units", "nth", F.coalesce(F.sum("full").over(fulls), F.lit(0)).alias("full_at"))
-    placed = placed.join(longs, ["part", "units", "nth"], "left")
+    lower = Window.partitionBy("part").orderBy("units").rowsBetween(Window.unboundedPreceding, -1)
+    before = counted.select(
+        "part", "units", F.coalesce(F.sum("n").over(per_length), F.lit(0)).alias("n_before"), F.coalesce(F.sum("full").over(lower), F.lit(0)).alias("full_lower"),
+    ).join(totals, "part")
+    placed = tokens.join(F.broadcast(before) if counted.count() <= SMALL_COUNTS else before, ["part", "units"])
     full_total = F.lit(int(sum(r.full for r in counted.agg(F.sum("full").alias("full")).collect() if r.full)))
     slots_of = np.array(slots, np.int64).reshape(-1, 6)
 
@@ -302,7 +307,7 @@ def pack(docs: DataFrame, path: str, end: int = 2, doc_id: str = "doc_id", text:
 
     wanted = placed.select(
         "doc_id", "full", "units", "tail", "ids", (F.col("n_before") + F.col("nth")).alias("rank"),
-        (F.col("tails_before") + F.col("tail_at")).alias("tail_at"), (F.col("full_before") + F.coalesce("full_at", F.lit(0))).alias("full_at"), full_total.alias("full_total"),
+        (F.col("tails_before") + F.col("tail_at")).alias("tail_at"), (F.col("full_before") + F.col("full_lower") + F.col("full_at")).alias("full_at"), full_total.alias("full_total"),
     )
     out = "doc_id string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     return wanted.mapInPandas(cut, out).withColumn("doc_id", F.col("doc_id").cast(id_type))

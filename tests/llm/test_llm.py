@@ -17,7 +17,7 @@ import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from arborflow.llm import fingerprints, forest, language, mixing, neardup, packing, pages, passages, secrets, substrings
+from arborflow.llm import common, fingerprints, forest, language, mixing, neardup, packing, pages, passages, secrets, substrings
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, place long, spans string, rank int"
@@ -536,3 +536,28 @@ def test_language_levels_come_from_every_text(spark):
     model = language.fit(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"))
     own = language.entropies(model, texts)[0][:, 0]
     assert abs(model.mean[0] - own.mean()) < 1e-9
+
+
+def test_texts_stay_where_counts_are_joined(spark, docs, rows):
+    """Counts per task travel to texts and ids: no join of packing or mixing sorts them anew, whatever Spark guesses of sizes."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame in (packing.pack(docs, TOKENIZER), common.numbered(docs.select("doc_id", "text"), [docs.doc_id], "some")):
+            joins = re.findall(r"\w+Join", frame._jdf.queryExecution().sparkPlan().toString())
+            assert joins[0] == "BroadcastHashJoin" and joins.count("SortMergeJoin") <= 1  # counts of tasks with each other
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_packing_numbers_whole_windows_of_a_task(spark):
+    """Whole windows follow each other without a gap, by task, length and turn."""
+    lengths = [4096 * (k % 3) + 64 * (k * 7 % 5) + k % 11 for k in range(60)]
+    docs = spark.createDataFrame([(k, " ".join(["a"] * max(0, n - 1))) for k, n in enumerate(lengths)], "doc_id long, text string").repartition(3).cache()
+    pieces = packing.pack(docs, TOKENIZER).collect()
+    whole = sorted(p.sequence_id for p in pieces if p.length == packing.WINDOW)
+    ids = {p.doc_id: p.doc_tokens for p in pieces}
+    full = sum(n // packing.WINDOW for n in ids.values())
+    assert full > 30 and len(set(whole)) == len(whole) >= full
+    assert whole[:full] == list(range(whole[0], whole[0] + full))
+    assert sum(p.length for p in pieces) == sum(ids.values())
