@@ -11,16 +11,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborflow.llm.common import keep, mixed, ship, text_blocks
+from arborflow.llm.common import BLOCK_CHARS, keep, mixed, ship, text_blocks
 from arborflow.llm.neardup import word_hashes
 
 #: Neighbours in a host's suffix array that share so many tokens belong to a repeated run.
 REPEAT = 8
 #: A repeated run goes where it fills a block or has so many tokens.
 LONG = 16
-#: Share of a host's distinct pages (two at least) that a run must stand on: blocks as a whole, and runs outside marked content.
+#: Share of a host's distinct pages (two at least) that a run must stand on: blocks as a whole and runs of pages that mark their
+#: content, and runs of pages that mark nothing.
 BLOCK_SHARE = 0.5
 RUN_SHARE = 0.25
+#: Bits of the table in which the pages of a host tell their suffixes before any is stored.
+TOLD = 1 << 13
 # Element names of the HTML standard by their part here, and words that sites use in class, id and role.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -169,35 +172,86 @@ def _parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
-def _suffixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First tokens of the suffixes of each page's stream: of each suffix outside marked content REPEAT tokens (place: its token),
-    and of each suffix that starts a block the whole block (place: -1 less the block's number)."""
+def _page_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Cut Arrow batches into runs of pages with about BLOCK_CHARS characters of content."""
     for frame in frames:
-        outside = [[t for t, root in zip(blocks, roots, strict=True) if not root] for blocks, roots in zip(frame.blocks, frame.roots, strict=True)]
-        words, sizes = word_hashes([" ".join(blocks).encode("utf-8", "surrogatepass") for blocks in outside])
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        nth = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        n = max(0, len(words) - REPEAT + 1)
-        value = np.zeros(n, np.uint64)
-        for k in range(REPEAT):
-            value = mixed(value + words[k : n + k])
-        fits = row[:n] == row[REPEAT - 1 :] if n else np.zeros(0, bool)
+        if not len(frame):
+            continue
+        block = (np.cumsum([sum(map(len, blocks)) for blocks in frame.blocks]) - 1).clip(0) // BLOCK_CHARS
+        for rows in np.split(np.arange(len(frame)), np.flatnonzero(np.diff(block)) + 1):
+            yield frame.iloc[rows]
+
+
+def _starts(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, token and first REPEAT tokens (a hash) of each suffix of the pages' streams: all blocks in page order."""
+    words, sizes = word_hashes([" ".join(blocks).encode("utf-8", "surrogatepass") for blocks in frame.blocks])
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    nth = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    n = max(0, len(words) - REPEAT + 1)
+    value = np.zeros(n, np.uint64)
+    for k in range(REPEAT):
+        value = mixed(value + words[k : n + k])
+    fits = row[:n] == row[REPEAT - 1 :] if n else np.zeros(0, bool)
+    return row[:n][fits], nth[:n][fits], value[fits]
+
+
+def _told(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each host of a task, on how many of its pages each place of a table of TOLD is hit by a suffix; places without a hit are left out."""
+    held: dict[str, np.ndarray] = {}
+
+    def flush() -> pd.DataFrame:
+        places = [np.flatnonzero(x) for x in held.values()]
+        hits = [x[at].astype(np.uint32).tobytes() for x, at in zip(held.values(), places, strict=True)]
+        return pd.DataFrame({"host": list(held), "places": [at.astype(np.uint16).tobytes() for at in places], "hits": hits})
+
+    for frame in _page_blocks(frames):
+        row, _, value = _starts(frame)
+        hit = np.unique(row * TOLD + (value % np.uint64(TOLD)).astype(np.int64))
+        cuts = np.searchsorted(hit // TOLD, np.arange(len(frame) + 1))
+        for host, lo, hi in zip(frame.host, cuts, cuts[1:], strict=False):
+            if host not in held:
+                if len(held) == 256:
+                    yield flush()
+                    held.clear()
+                held[host] = np.zeros(TOLD, np.uint32)
+            held[host][hit[lo:hi] % TOLD] += 1
+    yield flush()
+
+
+def _often(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    """Places of a host's table that enough pages hit: equal pages count each, so no suffix on a share of distinct ones is missed."""
+    hits = np.zeros(TOLD, np.int64)
+    for at, n in zip(frame.places, frame.hits, strict=True):
+        hits[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.uint32)
+    return pd.DataFrame({"host": [key[0]], **{
+        name: [np.packbits((hits > 1) & (hits >= share * frame["size"].iat[0])).tobytes()] for name, share in (("some", RUN_SHARE), ("many", BLOCK_SHARE))}})
+
+
+def _suffixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """First tokens of the suffixes of each page's stream: REPEAT tokens of each suffix that its host's table does not rule out
+    (place: its token), and of each suffix that starts a block the whole block (place: -1 less the block's number)."""
+    for frame in _page_blocks(frames):
+        row, nth, value = _starts(frame)
+        # pages that mark nothing ask for less, so what they look for is counted on all pages of a host that has such pages
+        tables = [many if strict else some for some, many, strict in zip(frame.some, frame.many, frame.strict, strict=True)]
+        bits = np.unpackbits(np.frombuffer(b"".join(tables), np.uint8)).reshape(len(frame), TOLD)
+        wanted = bits[row, (value % np.uint64(TOLD)).astype(np.int64)] > 0
+        row, nth, value = row[wanted], nth[wanted], value[wanted]
         counts = [len(blocks) for blocks in frame.blocks]
-        at = np.concatenate([row[:n][fits], np.repeat(np.arange(len(counts)), counts)])
-        prefix = np.concatenate([value.view(np.int64)[fits], np.array([_hash(t) for blocks in frame.blocks for t in blocks], np.int64)])
-        place = np.concatenate([nth[:n][fits], np.array([-1 - k for c in counts for k in range(c)], np.int64)])
-        yield pd.DataFrame({"host": frame.host.to_numpy()[at], "prefix": prefix, "content": frame.content.to_numpy()[at], "row": frame.row.to_numpy()[at], "place": place})
+        at = np.concatenate([row, np.repeat(np.arange(len(counts)), counts)])
+        prefix = np.concatenate([value.view(np.int64), np.array([_hash(t) for blocks in frame.blocks for t in blocks], np.int64)])
+        place = np.concatenate([nth, np.array([-1 - k for c in counts for k in range(c)], np.int64)])
+        yield pd.DataFrame({
+            "host": frame.host.to_numpy()[at], "prefix": prefix, "content": frame.content.to_numpy()[at], "row": frame.row.to_numpy()[at],
+            "marked": frame.marked.to_numpy()[at], "place": place,
+        })
 
 
 def unique(blocks: list[str], roots: list[bool], places: list[int]) -> tuple[str, int]:
     """Text of a page without its repeated runs, and the tokens that went; `places` as `_suffixes` gives them."""
     tokens = [t.encode("utf-8", "surrogatepass").split() for t in blocks]
+    marked = any(roots)
     whole = {-1 - p for p in places if p < 0}
-    if any(roots):
-        gone = sum(len(tokens[k]) for k in whole if roots[k])
-        if 2 * gone > sum(len(t) for t, root in zip(tokens, roots, strict=True) if root):
-            whole, gone = set(), 0  # what agrees for the most part is another version of the page
-        return "\n\n".join(t for k, (t, root) in enumerate(zip(blocks, roots, strict=True)) if root and k not in whole), gone
     size = sum(map(len, tokens))
     covered = np.zeros(size + 2, bool)  # an uncovered token at either end
     for p in places:
@@ -207,19 +261,24 @@ def unique(blocks: list[str], roots: list[bool], places: list[int]) -> tuple[str
     long = np.zeros(size, bool)
     for start, end in zip(ends[::2], ends[1::2], strict=True):
         long[start:end] = end - start >= LONG
-    kept, at = [], 0
-    for k, (text, own) in enumerate(zip(blocks, tokens, strict=True)):
+    kept, own_text, at, gone, all_tokens = [], [], 0, 0, 0
+    for k, (text, own, root) in enumerate(zip(blocks, tokens, roots, strict=True)):
         here, covered_here = long[at : at + len(own)], covered[at + 1 : at + 1 + len(own)]
         at += len(own)
+        if marked and not root:
+            continue
+        own_text.append(text)
+        all_tokens += len(own)
         if k in whole or covered_here.all():
+            gone += len(own)
             continue
         if here.any():
             text = b" ".join(t for t, goes in zip(own, here, strict=True) if not goes).decode("utf-8", "surrogatepass")
-            size -= len(own) - int(here.sum())
-        else:
-            size -= len(own)
+            gone += int(here.sum())
         kept.append(text)
-    return "\n\n".join(kept), size
+    if marked and 2 * gone > all_tokens:
+        return "\n\n".join(own_text), 0  # what agrees for the most part is another version of the page
+    return "\n\n".join(kept), gone
 
 
 def _unique(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,10 +300,13 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     counts of distinct pages, so a large host is no group of its own. Pages with the same content count once.
 
     - A block that stands on at least BLOCK_SHARE of the host's distinct pages (and on two) goes, inside content that the
-      page marks (article, main) as well as outside. Marked content that would lose over half of its tokens is
-      another version of a page and stays whole; marked content is never cut within a block.
-    - Pages that mark nothing also lose runs, chains of neighbours with REPEAT tokens in common, on RUN_SHARE of the
-      pages, if they fill a block or have LONG tokens.
+      page marks (article, main) as well as outside.
+    - So do runs, chains of neighbours with REPEAT tokens in common, if they fill a block or have LONG tokens: those on
+      BLOCK_SHARE of the pages, and where a page marks nothing those on RUN_SHARE of them.
+    - Marked content that would lose over half of its tokens is another version of a page and stays whole.
+
+    Most suffixes stand on one page and are not stored: pages first count, in a table a host of TOLD places by hash, how many
+    of them hit each place, and only suffixes at places hit by enough pages are counted for themselves, exactly.
 
     n_repeated counts the tokens that went this way. Where a page marks content, the text is that, else all that is left.
 
@@ -258,15 +320,22 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     id_type = rows.schema["page_id"].dataType.simpleString()
     parsed = rows.mapInPandas(_parse, f"page_id {id_type}, url string, blocks array<string>, roots array<boolean>, content long")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    parsed = keep(parsed.withColumn("host", host).withColumn("row", F.monotonically_increasing_id()), "pages", "zstd")
-    suffixes = parsed.select("host", "row", "content", "blocks", "roots").mapInPandas(_suffixes, "host string, prefix long, content long, row long, place long")
+    parsed = parsed.withColumn("host", host).withColumn("row", F.monotonically_increasing_id()).withColumn("marked", F.array_contains("roots", True))
+    parsed = keep(parsed, "pages", "zstd")
+    sizes = keep(parsed.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("size")), "sizes")
+    told = parsed.select("host", "blocks").mapInPandas(_told, "host string, places binary, hits binary").join(sizes, "host")
+    often = told.groupBy("host").applyInPandas(_often, "host string, some binary, many binary")
+    strict = parsed.groupBy("host").agg(F.min(F.col("marked").cast("int")).alias("strict"))
+    often = keep(often.join(strict.select("host", (F.col("strict") == 1).alias("strict")), "host"), "often")
+    listed = parsed.select("host", "row", "content", "marked", "blocks").join(often, "host")
+    suffixes = listed.mapInPandas(_suffixes, "host string, prefix long, content long, row long, marked boolean, place long")
     suffixes = keep(suffixes.withColumn("whole", F.col("place") < 0), "suffixes")
     key = ["host", "prefix", "whole"]
     counts = suffixes.groupBy(*key, "content").agg(F.lit(1)).groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
-    sizes = parsed.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("size"))
-    share = F.when(F.col("whole"), BLOCK_SHARE).otherwise(RUN_SHARE)
-    shared = counts.join(sizes, "host").where(F.col("n") >= share * F.col("size")).select(*key)
-    places = keep(suffixes.join(shared, key, "left_semi").groupBy("row").agg(F.collect_list("place").alias("places")), "places")
+    shared = counts.join(sizes, "host").where(F.col("n") >= F.when(F.col("whole"), BLOCK_SHARE).otherwise(RUN_SHARE) * F.col("size"))
+    shared = shared.select(*key, (F.col("n") >= BLOCK_SHARE * F.col("size")).alias("most"))
+    found = suffixes.join(shared, key).where(F.col("most") | ~F.col("marked"))
+    places = keep(found.groupBy("row").agg(F.collect_list("place").alias("places")), "places")
     out = parsed.join(places, "row", "left").select("page_id", "url", "blocks", "roots", "places").mapInPandas(
         _unique, f"page_id {id_type}, url string, text string, n_repeated long")
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")

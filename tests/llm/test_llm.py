@@ -561,3 +561,21 @@ def test_packing_numbers_whole_windows_of_a_task(spark):
     assert full > 30 and len(set(whole)) == len(whole) >= full
     assert whole[:full] == list(range(whole[0], whole[0] + full))
     assert sum(p.length for p in pieces) == sum(ids.values())
+
+
+def test_pages_lose_repeated_runs_inside_marked_content(spark):
+    """A long run on most pages of a host goes from marked content too, within a block or over several; on fewer pages it stays."""
+    notice = "we use neutral words here to tell all the readers of this site that it is sold by weight and never by the yard"
+    table, want = [], {}
+    for k in range(6):
+        own, more = prose(random.Random(40 + k), 40), prose(random.Random(60 + k), 5)
+        quote = prose(random.Random(3), 20) if k < 2 else ""
+        table.append((k, f"https://d.org/{k}", f"<body><main><p>{own}</p><p>{more} {notice}</p><p>{k} tail {quote}</p></main></body>", None, None))
+        want[k] = ("\n\n".join([own, more, f"{k} tail {quote}".strip()]), len(notice.split()))
+    # a host with a page that marks nothing: a run on a quarter of its pages goes from that page only
+    run = prose(random.Random(8), 20)
+    for k in range(10, 18):
+        own = prose(random.Random(40 + k), 30)
+        table.append((k, f"https://e.org/{k}", f"<{'div' if k == 10 else 'main'}><p>{own} {run if k < 13 else ''}</p></{'div' if k == 10 else 'main'}>", None, None))
+        want[k] = (own, 20) if k == 10 else (f"{own} {run if k < 13 else ''}".strip(), 0)
+    assert {k: (text, n) for k, text, n in page_texts(spark, table)} == want
