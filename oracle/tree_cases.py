@@ -133,6 +133,9 @@ def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
 
 def contract_kinds(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as node, edge and error events, most of them broken in one way: what each contract says."""
+    # a file of keys alone is one small split, whose rows are many records
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    orders = _table(spark, folder, "orders").select("o_orderkey").repartition(tasks)
     n, key = F.col("o_orderkey") % 7, F.sha2(F.col("o_orderkey").cast("string"), 256)
     ident = F.when(n == 1, F.lit("short")).when(n != 2, key).alias("id")
 
@@ -141,7 +144,7 @@ def contract_kinds(spark: SparkSession, folder: str) -> DataFrame:
             F.when(n == 3, "2.0").otherwise("1.0").alias("schema_version"), F.lit("t").alias("event_time"), F.lit("r").alias("repo_id"),
             key.alias("file_id"), F.when(n == 4, "").otherwise("x").alias("run_id"), key.alias("content_hash"), key.alias("event_id"),
             F.when(n == 5, "merge").otherwise(op).alias("op"), F.struct(ident, *payload).alias(kind)))
-        log = _table(spark, folder, "orders").select("o_orderkey", value.alias("value"))
+        log = orders.select("o_orderkey", value.alias("value"))
         found = contracts.validate_contract(log, contracts.CONTRACTS[kind])
         return found.select(F.lit(kind).alias("contract"), "o_orderkey", F.array_join("violations", "|").alias("violations"))
 
