@@ -46,7 +46,7 @@ def cfg_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def def_use(spark: SparkSession, folder: str) -> DataFrame:
-    return names.def_use(extract(load_sources(spark, folder), stored=False)).drop("file")
+    return names.def_use(extract(load_sources(spark, folder), stored=False, roles=["def", "use"])).drop("file")
 
 
 def _reach(spark: SparkSession, folder: str):

@@ -76,6 +76,14 @@ def test_joins_refuse_rows_that_are_parsed_again(spark):
         control.flow_edges(syntax)
 
 
+def test_rows_of_other_roles_never_leave_the_parse(spark):
+    files = as_files(spark, {"a.py": "import os.path as p\nfor x in p(y):\n    def f(a, *b: x): return a\n", "b.py": "x = (\n"})
+    whole, some = (extract(files, stored=False, roles=r).parsed for r in (None, ["def", "use"]))
+    assert {r.role for r in some.where("error IS NULL").select("role").collect()} == {"def", "use"}
+    want = whole.where("role IN ('def', 'use') OR error IS NOT NULL")
+    assert sorted(map(str, some.collect())) == sorted(map(str, want.collect())) and some.count() < whole.count()
+
+
 def test_deep_source_is_processed(spark):
     text = "x = " + "+".join(["a"] * 1500) + "\n"
     graph = build_graph(as_files(spark, {"deep.py": text, "deeper.py": "x = " + "(" * 300 + "a" + ")" * 300 + "\n"}))
