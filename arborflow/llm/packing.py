@@ -24,6 +24,8 @@ DEPTH = 5
 MEMORY, MEMORY_BYTES = 1_000_000, 1 << 24
 #: Bytes of text that are looked up at once; longer texts are cut between words.
 PIECE = 1 << 19
+#: Bits of a hash that give the place where a known word is looked for first.
+SLOT_BITS = 20
 #: Words that are encoded in one call.
 BATCH = 500
 #: Rows (one per task and length) up to which counts travel to the pieces, and not the pieces to the counts.
@@ -80,6 +82,7 @@ class WordTokenizer:
 
     def clear(self) -> None:
         self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted, and the word of each
+        self.slots, self.slot_hashes = np.zeros(1 << SLOT_BITS, np.int32), np.zeros(1 << SLOT_BITS, np.uint64)  # 0: none
         self.bytes, self.starts, self.sizes = _Grown(np.uint8), _Grown(np.int32), _Grown(np.int32)
         self.pool, self.id_starts, self.id_sizes = _Grown(np.uint16), _Grown(np.int32), _Grown(np.int32)
 
@@ -120,6 +123,25 @@ class WordTokenizer:
         by_hash = np.argsort(hashes)
         at = np.searchsorted(self.hashes, hashes[by_hash])
         self.hashes, self.number = np.insert(self.hashes, at, hashes[by_hash]), np.insert(self.number, at, n + by_hash)
+        place = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        free = np.flatnonzero(self.slot_hashes[place] == 0)  # frequent words come early and keep their slots
+        free = free[np.unique(place[free], return_index=True)[1]]
+        self.slots[place[free]], self.slot_hashes[place[free]] = n + free, hashes[free]
+
+    def _words(self, raw: bytes, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The word of each hash, learnt where it is new: by its slot, and where another word has taken that, by the sorted hashes."""
+        place = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        word = self.slots[place]
+        left = np.flatnonzero((self.slot_hashes[place] != hashes) | (hashes == 0))
+        if not len(left):
+            return word
+        hashes, first, which = np.unique(hashes[left], return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.flatnonzero(at == len(self.hashes)) if not len(self.hashes) else np.flatnonzero(self.hashes[np.minimum(at, len(self.hashes) - 1)] != hashes)
+        if len(new):
+            self._learn(hashes[new], [raw[starts[k] : starts[k] + sizes[k]] for k in left[first[new]]])
+        word[left] = self.number[np.searchsorted(self.hashes, hashes)][which]
+        return word
 
     def _block(self, pieces: list[bytes]) -> list[np.ndarray]:
         if self.starts.size > MEMORY or self.bytes.size > MEMORY_BYTES:
@@ -129,12 +151,7 @@ class WordTokenizer:
         cuts = np.concatenate([[-1], np.flatnonzero((data == 32) | (data == 10)), [len(data)]])
         starts, sizes = cuts[:-1] + 1, np.diff(cuts) - 1
         starts, sizes = starts[sizes > 0], sizes[sizes > 0]
-        hashes, first, which = np.unique(self._hash(data, starts, sizes), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, hashes)
-        new = np.flatnonzero(at == len(self.hashes)) if not len(self.hashes) else np.flatnonzero(self.hashes[np.minimum(at, len(self.hashes) - 1)] != hashes)
-        if len(new):
-            self._learn(hashes[new], [raw[starts[k] : starts[k] + sizes[k]] for k in first[new]])
-        word = self.number[np.searchsorted(self.hashes, hashes)][which]
+        word = self._words(raw, starts, sizes, self._hash(data, starts, sizes))
         same = self.sizes.held[word] == sizes
         own, known = _spread(starts[same], sizes[same]), _spread(self.starts.held[word[same]], sizes[same])
         differ = np.flatnonzero(data[own] != self.bytes.held[known])

@@ -499,6 +499,18 @@ def test_fingerprints_of_repeated_rows(spark):
     assert sorted((str(r.doc_id), r.n_chars) for r in got) == [("1", 7), ("1", 7), ("2", 1), ("None", 0), ("None", 0), ("None", 0)]
 
 
+def test_known_words_are_found_by_their_slots(monkeypatch):
+    texts, plain = ["one two three don't stop", "two two stöp \x01 one", ""], Tokenizer.from_file(TOKENIZER)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    words = packing.WordTokenizer(TOKENIZER)
+    assert [x.tolist() for x in words.encode(texts)] == want
+    known, words.hashes, words.number = words.starts.size, words.hashes[:0], words.number[:0]
+    assert [x.tolist() for x in words.encode(texts)] == want and words.starts.size == known
+    monkeypatch.setattr(packing, "SLOT_BITS", 1)  # most words find their slot taken
+    words = packing.WordTokenizer(TOKENIZER)
+    assert [[x.tolist() for x in words.encode(texts)] for _ in range(2)] == [want, want]
+
+
 def test_word_tokenizer_against_whole_texts(rows):
     words = packing.WordTokenizer(TOKENIZER)
     texts = [t or "" for _, t, *_ in rows] + ["a\x01b \x01", "\x01", " lead", "trail \n", "a\tb\x0bc d"]
