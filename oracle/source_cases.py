@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arborflow.operators import calls, control, data, names, notices, reach, report, tree
 from arborflow.operators.events import element_events, run_id
-from arborflow.operators.syntax import extract
+from arborflow.operators.syntax import FLOW_ROLES, extract
 from arborflow.plans.corpus import TEMPLATES, load_sources
 from arborflow.plans.graph import build_graph
 from oracle.golden import EDGES, NODES
@@ -50,7 +50,7 @@ def def_use(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _reach(spark: SparkSession, folder: str):
-    syntax = extract(load_sources(spark, folder))
+    syntax = extract(load_sources(spark, folder), roles=FLOW_ROLES)
     flow = syntax.keep(control.flow_edges(syntax), "flow")
     return syntax, *reach.reaching_definitions(syntax, flow)
 

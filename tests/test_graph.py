@@ -7,8 +7,8 @@ from programs import program
 from pyspark.sql import functions as F
 
 from arborflow.functions.ids import file_id
-from arborflow.operators import calls, control, report
-from arborflow.operators.syntax import extract
+from arborflow.operators import calls, control, data, reach, report, tree
+from arborflow.operators.syntax import FLOW_ROLES, Syntax, extract
 from arborflow.plans.graph import build_graph
 
 
@@ -106,6 +106,50 @@ def test_tables_of_a_graph_move_no_rows(spark):
     assert "id" not in syntax.parsed.columns and {r["count"] for r in counts.collect()} == {7}
 
 
+def test_search_for_definitions_moves_and_broadcasts_nothing(spark, monkeypatch):
+    """Neither joins nor unions of stored tables, whose compressed files look small enough to be broadcast."""
+    text = "def f(a, b):\n    while a:\n        for b in a:\n            a = b\n        a = a - b\n    return a, c\n"
+    plans, keep = [], Syntax.keep
+
+    def told(self, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(self, df, name)
+
+    monkeypatch.setattr(Syntax, "keep", told)
+    syntax = extract(as_files(spark, {f"f{k}.py": text for k in range(3)}), roles=FLOW_ROLES)
+    flow = syntax.keep(control.flow_edges(syntax), "flow")
+    pairs, unresolved = reach.reaching_definitions(syntax, flow)
+    plans += [d._jdf.queryExecution().executedPlan().toString() for d in (pairs, data.outside_uses(syntax, unresolved))]
+    assert len(plans) > 10 and not [p for p in plans if "Exchange" in p]
+    # 12 where the uses stand, and two uses of b that the while owns and so asks at its start
+    assert {r["count"] for r in pairs.groupBy("file_id").count().collect()} == {14}
+    assert unresolved.count() == 3
+
+
+def test_statements_and_names_are_enough_for_flow(spark):
+    """With FLOW_ROLES only rows that no flow is made from stay in the parse."""
+    sources = {f"p{seed}.py": program(seed) for seed in range(6)}
+    files = as_files(spark, sources)
+    found, sizes = [], []
+    for roles in (None, FLOW_ROLES):
+        syntax = extract(files, roles=roles)
+        flow = syntax.keep(control.flow_edges(syntax), "flow")
+        pairs, unresolved = reach.reaching_definitions(syntax, flow)
+        uses = data.outside_uses(syntax, unresolved)
+        rows = [control.cfg_edges(flow), data.dfg_edges(pairs, uses), calls.call_edges(calls.resolve_calls(syntax))]
+        found.append([sorted(map(str, r.collect())) for r in rows])
+        sizes.append(syntax.parsed.count())
+    assert found[0] == found[1] and sizes[1] < sizes[0]
+
+
+def test_what_is_joined_by_file_is_looked_up_not_broadcast(spark):
+    """The plan takes the rows for their compressed file, so it would broadcast the nodes to the files."""
+    files = as_files(spark, {f"f{k}.py": "x = 1\n" for k in range(3)})
+    syntax = extract(files)
+    joined = tree.ast_nodes(syntax).join(syntax.dealt(files.select("file_id", "repo_id")), "file_id")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 15
+
+
 def test_totals_tell_ids_apart_that_differ_in_case(spark):
     ids = ["ab" * 32, "AB" * 32, "ab" * 32, None, "x"]
     nodes = spark.createDataFrame([(i,) for i in ids], "id string")
