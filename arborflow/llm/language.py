@@ -257,8 +257,10 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     def calibrate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in text_blocks(frames, "text"):
             cross, letters = entropies(held.value, frame.text.tolist())
-            own = cross[np.arange(len(frame)), frame.lang.map(of).to_numpy(np.int64)]
-            yield pd.DataFrame({"lang": frame.lang, "e": own})[letters >= MIN_LETTERS]
+            # a language none of whose texts has a letter is not in the model
+            number = frame.lang.map(of)
+            own = cross[np.arange(len(frame)), number.fillna(0).to_numpy(np.int64)]
+            yield pd.DataFrame({"lang": frame.lang, "e": own})[(letters >= MIN_LETTERS) & number.notna().to_numpy()]
 
     held = train.sparkSession.sparkContext.broadcast(model)
     own = rows.select("lang", "text").mapInPandas(calibrate, "lang string, e double")
